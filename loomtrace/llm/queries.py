@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import table, text_of
+from loomtrace.llm import bpe
+from loomtrace.llm.common import table
 from loomtrace.llm.lines import dedup_lines
 from loomtrace.llm.mixing import mix_sources
 from loomtrace.llm.quality import judge
 from loomtrace.llm.secrets import blobs_of, scan_versions
+from loomtrace.llm.tokencounts import token_counts
+
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+UNIGRAM_PIECES = "piece_bpe_32k.model"
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path(BPE_RANKS)
+    return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,4 +48,9 @@ def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_secret_scan, op7_quality_rules, op9_mix_sources)}
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(UNIGRAM_PIECES))
+    return out.select("doc_id", "n_words", F.col("total").alias("n_tokens"))
+
+
+QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op5_secret_scan, op7_quality_rules, op9_mix_sources, op10_token_counts)}

@@ -78,3 +78,32 @@ def targets(sizes):
         if not over:
             return capped | share
         capped |= {s: 3 * sizes[s] for s in over}
+
+
+def bpe(docs, encoding):
+    out = []
+    for i, t in docs:
+        ids = encoding.encode_ordinary(t or "")
+        out.append((i, len(ids), sha(",".join(map(str, ids))), sha((t or "").encode())))
+    return out
+
+
+def unigram(docs, pieces):
+    """Tokens of the best segmentation of each word, without any sharing."""
+    import functools
+
+    score = dict(pieces)
+    longest, byte = max(map(len, score)), 10 + max(-s for s in score.values())
+
+    @functools.lru_cache(None)
+    def count(word):
+        best = [(0.0, 0)]
+        for e in range(1, len(word) + 1):
+            choices = [(best[b][0] + score[word[b:e]], best[b][1] - 1) for b in range(max(0, e - longest), e) if word[b:e] in score]
+            if word[e - 1] not in score:
+                n = len(word[e - 1].encode())
+                choices.append((best[e - 1][0] - byte * n, best[e - 1][1] - n))
+            best.append(max(choices))
+        return -best[-1][1]
+
+    return [(i, len(words(t)), sum(count("▁" + w) for w in words(t))) for i, t in docs]
