@@ -12,12 +12,20 @@ from loomtrace.llm.lines import dedup_lines
 from loomtrace.llm.mixing import mix_sources
 from loomtrace.llm.quality import judge
 from loomtrace.llm.secrets import blobs_of, scan_versions
+from loomtrace.llm.simhash import near_groups
+from loomtrace.llm.substrings import dedup_substrings
 from loomtrace.llm.tokencounts import token_counts
+from loomtrace.llm.topk import quantised, top_k
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 UNIGRAM_PIECES = "piece_bpe_32k.model"
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.where("id % 20 = 0"), vectors, k=20)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path(BPE_RANKS)
     return bpe.digests(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks))
@@ -39,11 +47,21 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"), F.sha2(shown(base), 256).alias("base_sha256"), shown(spans).alias("spans"))
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_groups(table(spark, sf_dir, "documents"), shingle=3, most=2)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "_lt_m.*", F.col("_lt_base_failed").alias("base_failed"), F.col("_lt_kept").alias("kept"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = dedup_substrings(table(spark, sf_dir, "documents"), window=13)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -53,4 +71,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", F.col("total").alias("n_tokens"))
 
 
-QUERIES = {f.__name__: f for f in (op3_byte_bpe, op4_line_dedup, op5_secret_scan, op7_quality_rules, op9_mix_sources, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op2_exact_topk, op3_byte_bpe, op4_line_dedup, op5_secret_scan, op6_simhash, op7_quality_rules, op8_substring_dedup, op9_mix_sources, op10_token_counts,
+)}

@@ -107,3 +107,61 @@ def unigram(docs, pieces):
         return -best[-1][1]
 
     return [(i, len(words(t)), sum(count("▁" + w) for w in words(t))) for i, t in docs]
+
+
+def substrings(docs, window=13):
+    least = {}
+    order = lambda i: -(2**63) if i is None else i
+    cut = [(i, words(t)) for i, t in docs]
+    for i, w in cut:
+        for k in range(len(w) - window + 1):
+            key = tuple(w[k : k + window])
+            least[key] = min(least.get(key, 2**63), order(i))
+    out = []
+    for i, w in cut:
+        gone = set()
+        for k in range(len(w) - window + 1):
+            if least[tuple(w[k : k + window])] < order(i):
+                gone.update(range(k, k + window))
+        out.append((i, len(w), len(gone), sha(" ".join(x for k, x in enumerate(w) if k not in gone))))
+    return out
+
+
+def simhash(docs, shingle=3, most=2):
+    import xxhash
+
+    fps = []
+    for _, t in docs:
+        w = [x.translate(LOW) for x in words(t)]
+        s = [" ".join(w[k : k + shingle]) for k in range(max(1, len(w) - shingle + 1))] if w else []
+        h = [xxhash.xxh64_intdigest(x, seed=42) for x in s]
+        fps.append(sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)))
+    root = list(range(len(docs)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    order = lambda i: -(2**63) if docs[i][0] is None else docs[i][0]
+    for a in range(len(docs)):
+        for b in range(a):
+            if (fps[a] ^ fps[b]).bit_count() <= most:
+                x, y = sorted((find(a), find(b)), key=order)
+                root[y] = x
+    least = {}
+    for a in range(len(docs)):
+        r = find(a)
+        least[r] = min(least.get(r, 2**63), order(a))
+    return [(docs[a][0], f"{fps[a]:016x}", None if least[find(a)] == -(2**63) else least[find(a)]) for a in range(len(docs))]
+
+
+def topk(vectors, k=20):
+    import math
+
+    rows = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for i, q in {i: (i, q) for i, q in rows if i % 20 == 0}.values():
+        best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q))[:k]
+        out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    return out
