@@ -49,7 +49,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_groups(table(spark, sf_dir, "documents"), shingle=3, most=2)
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lower(F.lpad(F.hex(F.element_at("fps", 1)), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,19 +15,21 @@ that meet are linked. (For more than two bits the values within half of them are
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import cut, id_of, shown_id, small_batches, text_of
+from loomtrace.llm.common import NO_ID, cut, id_of, shown_id, small_batches, text_of
 from loomtrace.llm.components import components
 
 BITS = 64
+EDGES = re.compile(r"^[\W_]+|[\W_]+$")
 STEP = 1 << 16  # shingles counted at a time, so that a very long text needs no more memory
 
 
@@ -52,18 +54,41 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", extra: tuple[Column, ...] = ()) -> DataFrame:
-    """(_lt_doc, fp) a row of ``docs``, with what ``extra`` adds; fp is a long of the same 64 bits."""
+def word_fingerprints(text: str, tables: int) -> list[int]:
+    """Independent fingerprints over a text's distinct words, lower-cased and without what is
+    neither letter nor digit at their ends. No words: zeros."""
+    words = {w for x in text.lower().split() if (w := EDGES.sub("", x))}
+    if not words:
+        return [0] * tables
+    base = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in words), np.uint64, len(words))
+    out = []
+    for t in range(tables):
+        h = base + np.uint64((t + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
+        h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        h ^= h >> np.uint64(31)
+        counts = np.zeros(BITS, np.int64)
+        for at in range(0, len(h), STEP):
+            counts += np.unpackbits(h[at : at + STEP].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        out.append(int(np.packbits((2 * counts > len(h)).astype(np.uint8), bitorder="little").view(np.uint64)[0]))
+    return out
+
+
+def fingerprints(docs: DataFrame, shingle: int = 3, tables: int = 1, text: str = "text") -> DataFrame:
+    """(_lt_doc, _lt_key, fps) a row of ``docs``: id, text hash and fingerprints as longs of the
+    same 64 bits: one over shingles, or of ``tables`` over 1 that many over distinct words."""
     small_batches(docs.sparkSession)
-    rows = docs.select(text_of(docs, text).alias("_lt_text"), id_of(docs).alias("_lt_doc"), *extra)
-    others = [f for f in rows.schema.fields if f.name != "_lt_text"]
+    rows = docs.select(id_of(docs).alias("_lt_doc"), F.xxhash64(text_of(docs, text)).alias("_lt_key"), text_of(docs, text).alias("_lt_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t, shingle) for t in batch.column(0).to_pylist()), np.uint64, batch.num_rows).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(fps)], names=[*batch.schema.names[1:], "fp"])
+            texts = batch.column(2).to_pylist()
+            fps = [word_fingerprints(t, tables) if tables > 1 else [fingerprint(t, shingle)] for t in texts]
+            flat = np.array(fps, np.uint64).reshape(-1).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, tables), pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["_lt_doc", "_lt_key", "fps"])
 
-    return rows.mapInArrow(run, ", ".join([*(f"{f.name} {f.dataType.simpleString()}" for f in others), "fp long"]))
+    return rows.mapInArrow(run, "_lt_doc long, _lt_key long, fps array<long>")
 
 
 def _segments(most: int) -> list[tuple[int, int]]:
@@ -74,54 +99,83 @@ def _segments(most: int) -> list[tuple[int, int]]:
 
 
 def _index(fps: DataFrame, most: int) -> DataFrame:
-    """(seg, val, own, fp): a row a segment as it is (own), and one a set bit with it cleared."""
+    """(tab, seg, val, own, fp): a row a segment as it is (own), and one a set bit with it cleared."""
     rows = []
     for s, (shift, width) in enumerate(_segments(most)):
         mask = F.lit((1 << width) - 1).cast("long")
         rows.append(F.struct(F.lit(s).alias("seg"), F.shiftrightunsigned("fp", shift).bitwiseAND(mask).alias("val")))
-    segments = fps.select("fp", F.explode(F.array(*rows)).alias("s")).select("fp", "s.seg", "s.val")
-    clear = F.transform(F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.getbit("val", b) == 1), lambda b: F.col("val") - F.call_function("shiftleft", F.lit(1).cast("long"), b))
-    own = F.array(F.struct(F.col("val").alias("val"), F.lit(True).alias("own")))
-    variants = F.concat(own, F.transform(clear, lambda v: F.struct(v.alias("val"), F.lit(False).alias("own"))))
-    return segments.select("fp", "seg", F.explode(variants).alias("v")).select("seg", "v.val", "v.own", "fp")
+    segments = fps.select("tab", "fp", F.explode(F.array(*rows)).alias("s")).select("tab", "fp", "s.seg", "s.val")
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.getbit("val", b) == 1)
+    cleared = F.transform(set_bits, lambda b: F.struct((F.col("val") - F.call_function("shiftleft", F.lit(1).cast("long"), b)).alias("val"), F.lit(False).alias("own")))
+    variants = F.concat(F.array(F.struct(F.col("val").alias("val"), F.lit(True).alias("own"))), cleared)
+    return segments.select("tab", "fp", "seg", F.explode(variants).alias("v")).select("tab", "seg", "v.val", "v.own", "fp")
 
 
 def near_links(fps: DataFrame, most: int = 2, most_pairs: int = 4096) -> DataFrame:
-    """(u, v) of distinct ``fp``s that differ in at most ``most`` bits: every such pair is
-    joined or, where it shares only crowded keys, connected through links of this table."""
+    """(tab, u, v) of distinct (tab, fp): every pair of a table that differs in at most ``most``
+    bits is joined or, where it shares only crowded keys, connected through links of this table."""
+    key = ["tab", "seg", "val"]
     index = _index(fps, most)
     # an own segment meets own ones and cleared ones; cleared ones need not meet each other
-    counts = index.groupBy("seg", "val").agg(F.count_if("own").alias("a"), F.count("*").alias("b")).where("a >= 1 and b >= 2")
-    shared = cut(index.join(counts, ["seg", "val"]))
+    counts = index.groupBy(*key).agg(F.count_if("own").alias("a"), F.count("*").alias("b")).where("a >= 1 and b >= 2")
+    shared = cut(index.join(counts, key))
     few, many = shared.where(F.col("a") * F.col("b") <= most_pairs), shared.where(F.col("a") * F.col("b") > most_pairs)
-    left = few.where("own").select("seg", "val", F.col("fp").alias("u"))
-    pairs = left.join(few.select("seg", "val", F.col("fp").alias("v")), ["seg", "val"])
-    pairs = pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most)).select("u", "v")
+    pairs = few.where("own").select(*key, F.col("fp").alias("u")).join(few.select(*key, F.col("fp").alias("v")), key)
+    pairs = pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most)).select("tab", "u", "v")
     flips = [0] + [sum(1 << b for b in c) for n in range(1, most // 2 + 1) for c in combinations(range(BITS), n)]
     flips = F.array(*[F.lit(x - (1 << 64) if x >= 1 << 63 else x).cast("long") for x in flips])
-    around = many.select("fp").distinct().select("fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("at"))
-    met = around.groupBy("at").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
-    stars = met.select(F.array_min("fps").alias("u"), F.explode("fps").alias("v")).where("u <> v")
+    around = many.select("tab", "fp").distinct().select("tab", "fp", F.explode(F.transform(flips, lambda x: F.col("fp").bitwiseXOR(x))).alias("at"))
+    met = around.groupBy("tab", "at").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
+    stars = met.select("tab", F.array_min("fps").alias("u"), F.explode("fps").alias("v")).where("u <> v")
     return pairs.unionByName(stars).distinct()
 
 
-def near_groups(docs: DataFrame, shingle: int = 3, most: int = 2, text: str = "text", extra: tuple[Column, ...] = ()) -> DataFrame:
-    """One row per row of ``docs``: doc_id, fp, component_id, and what ``extra`` adds.
+def near_groups(docs: DataFrame, shingle: int = 3, most: int = 2, tables: int = 1, text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, _lt_key (the text's hash), fps, component_id, and
+    keeper, true for one row of each component: of its smallest id, and of a text of the
+    smallest hash there (equal rows of id and text are all keepers).
 
-    Rows are linked whose fingerprints differ in at most ``most`` bits (2: see the module);
-    component_id is the smallest doc_id reachable over links, the row's own included. Null and
-    empty texts have fingerprint zero and are linked like any other. Null ids count as one
-    document smaller than any other, and are null as a component_id. Equal rows are linked. An
-    empty table gives none.
+    Rows are linked whose fingerprints of some table differ in at most ``most`` bits, an even
+    number; component_id is the smallest doc_id reachable over links, the row's own included.
+    Null and empty texts have fingerprint zero and are linked like any other. Null ids count as
+    one document smaller than any other, and are null as a component_id. Equal rows are linked.
+    An empty table gives none.
     """
-    if most // 2 * 2 != most:
+    if most % 2:
         raise ValueError("most must be even")
-    rows = cut(fingerprints(docs, shingle, text, extra))
-    distinct = rows.groupBy("fp").agg(F.min("_lt_doc").alias("least"))
-    distinct = cut(distinct)
-    roots = components(near_links(distinct.select("fp"), most))
-    rooted = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    rooted = cut(rooted)
-    named = rooted.groupBy("root").agg(F.min("least").alias("component")).join(rooted.select("root", "fp"), "root").select("fp", "component")
-    out = rows.join(named, "fp")
-    return out.select(shown_id("_lt_doc").alias("doc_id"), "fp", shown_id("component").alias("component_id"), *[c for c in rows.columns if c not in ("_lt_doc", "fp")])
+    rows = cut(fingerprints(docs, shingle, tables, text))
+    node = F.xxhash64("tab", "fp") if tables > 1 else F.col("fp")
+    distinct = cut(rows.groupBy("fps").agg(F.min("_lt_doc").alias("least")))
+    each = distinct.select("fps", F.posexplode("fps").alias("tab", "fp"))
+    links = near_links(each.select("tab", "fp").distinct(), most)
+    links = links.select("u", "v") if tables == 1 else links.select(F.xxhash64("tab", "u").alias("u"), F.xxhash64("tab", "v").alias("v"))
+    first = F.xxhash64(F.lit(0), F.element_at("fps", 1)) if tables > 1 else F.element_at("fps", 1)
+    if tables > 1:  # a document's fingerprints of all tables are one node
+        links = links.unionByName(each.select(first.alias("u"), node.alias("v")))
+    roots = components(links)
+    mine = distinct.withColumn("node", first).join(roots, "node", "left").select("fps", "least", F.coalesce("root", "node").alias("root"))
+    mine = cut(mine)
+    named = mine.groupBy("root").agg(F.min("least").alias("component")).join(mine.select("root", "fps"), "root").select("fps", "component")
+    out = rows.join(named, "fps")
+    keepers = out.where(F.col("_lt_doc") == F.col("component")).groupBy(F.col("component").alias("_lt_c")).agg(F.min("_lt_key").alias("_lt_k"))
+    if tables == 1:
+        return out.select(shown_id("_lt_doc").alias("doc_id"), "_lt_key", "fps", shown_id("component").alias("component_id"))
+    out = out.join(keepers, F.col("component") == F.col("_lt_c"))
+    keeper = (F.col("_lt_doc") == F.col("component")) & (F.col("_lt_key") == F.col("_lt_k"))
+    return out.select(shown_id("_lt_doc").alias("doc_id"), "_lt_key", "fps", shown_id("component").alias("component_id"), keeper.alias("keeper"))
+
+
+def drop_near_copies(docs: DataFrame, most: int = 2, tables: int = 8, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with one of each group of near copies, all columns kept.
+
+    Groups are those of ``near_groups`` over several word fingerprints: copies that share 0.8 of
+    their five-word shingles differ in two words of a hundred, which moves few bits of a
+    fingerprint over distinct words, while one over shingles differs in ten bits of 64, beyond
+    the reach of any selective segment. With eight tables one of them is near with high
+    probability; unrelated texts differ in over ten bits.
+    """
+    groups = near_groups(docs, most=most, tables=tables, text=text)
+    stay = groups.where("keeper").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_lt_doc"), F.col("_lt_key")).distinct()
+    keyed = docs.withColumns({"_lt_doc": id_of(docs), "_lt_key": F.xxhash64(text_of(docs, text))}).join(stay, ["_lt_doc", "_lt_key"])
+    place = F.row_number().over(Window.partitionBy("_lt_doc", "_lt_key").orderBy(F.lit(1)))  # dealt and sorted by the join
+    return keyed.withColumn("_lt_place", place).where("_lt_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
