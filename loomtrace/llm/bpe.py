@@ -73,9 +73,9 @@ def _numbers(x: pa.Scalar) -> list[int] | None:
     return x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else None
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens and the SHA-256 of ids (decimal, comma-joined) and of decoded bytes."""
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+def digests(encoded: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """doc_id, n_tokens and the SHA-256 of ids (decimal, comma-joined) and of decoded bytes, and
+    with ``keep_ids`` the ids."""
+    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
+    out = [F.col("doc_id"), F.size("ids").cast("long").alias("n_tokens"), F.sha2(joined, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")]
+    return encoded.select(*out, *(["ids"] if keep_ids else []))

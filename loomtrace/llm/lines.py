@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import WHITE, hashed, id_of, text_of
+from loomtrace.llm.common import WHITE, cut, hashed, id_of, text_of
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BITS = 60
@@ -31,9 +31,11 @@ def drop_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     lines = lines.where(F.char_length(F.btrim("_lt_line", F.lit(WHITE))) >= min_chars).withColumn("_lt_k", line_key(F.col("_lt_line")))
     keys = lines.select(hashed(F.col("_lt_k"), seed=1).alias("_lt_a"), hashed(F.col("_lt_k"), seed=2).alias("_lt_b"), "_lt_doc", "_lt_text", "_lt_pos")
     order = ["_lt_a", "_lt_b", "_lt_doc", "_lt_pos"]
+    keys = cut(keys)  # a few dozen bytes a line; else sampling, counting and joining each split all texts again
     keys = keys.repartitionByRange(*order).sortWithinPartitions(*order)
     common = keys.groupBy("_lt_a", "_lt_b").agg(F.count_distinct("_lt_doc").alias("_lt_docs"), F.max("_lt_doc").alias("_lt_last"))
     common = common.where(F.col("_lt_docs") >= min_docs).select("_lt_a", "_lt_b", "_lt_last")
+    common = cut(common)  # dealt anew for the join, so that a hot key's lines can be split over tasks there
     lost = keys.join(common, ["_lt_a", "_lt_b"]).where(F.col("_lt_doc") < F.col("_lt_last"))
     word = F.floor(F.col("_lt_pos") / BITS).cast("int")
     words = lost.groupBy("_lt_doc", "_lt_text", word.alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, _lt_pos % {BITS})")).alias("b"))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtrace.llm import bpe
+from loomtrace.llm import bpe, toxicity
 from loomtrace.llm.common import table
 from loomtrace.llm.lines import dedup_lines
 from loomtrace.llm.mixing import mix_sources
@@ -21,6 +21,18 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 UNIGRAM_PIECES = "piece_bpe_32k.model"
 
 
+def held_out(column: str = "doc_id") -> Column:
+    return F.crc32(F.col(column).cast("string")) % 5 == 0
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    out = toxicity.score(docs, model)
+    hit = F.col("_lt_score") >= 0.5
+    return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("_lt_score").alias("score"), hit.cast("int").alias("predicted"))
+
+
 def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = quantised(table(spark, sf_dir, "embeddings"))
     return top_k(vectors.where("id % 20 = 0"), vectors, k=20)
@@ -72,5 +84,5 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_exact_topk, op3_byte_bpe, op4_line_dedup, op5_secret_scan, op6_simhash, op7_quality_rules, op8_substring_dedup, op9_mix_sources, op10_token_counts,
+    op1_toxicity, op2_exact_topk, op3_byte_bpe, op4_line_dedup, op5_secret_scan, op6_simhash, op7_quality_rules, op8_substring_dedup, op9_mix_sources, op10_token_counts,
 )}
