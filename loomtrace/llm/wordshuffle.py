@@ -17,6 +17,7 @@ in number with the table; a block's memory does not.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 
@@ -60,13 +61,13 @@ def code_words(texts: list[str], split: Callable[[str], list]) -> tuple[list, np
     """(distinct words, codes of all positions, words a text)."""
     index: dict = defaultdict()
     index.default_factory = index.__len__
-    codes: list[int] = []
+    codes = array("I")
     lens = []
     for t in texts:
         words = split(t)
         lens.append(len(words))
         codes.extend(map(index.__getitem__, words))
-    return list(index), np.array(codes, dtype=np.uint32), np.array(lens, dtype=np.int64)
+    return list(index), np.frombuffer(codes, np.uint32) if codes else np.zeros(0, np.uint32), np.array(lens, dtype=np.int64)
 
 
 def _blocks(split: Callable[[str], list], buckets: int, block_chars: int):
@@ -151,7 +152,7 @@ def _sums(table: pa.Table) -> pa.Table:
 
 
 def apply_to_words(docs: DataFrame, split: Callable[[str], list], work: Callable[[list[bytes]], list[list[int]]],
-                   sums: bool = False, text: str = "text", block_chars: int = 4 << 20) -> DataFrame:
+                   sums: bool = False, text: str = "text", block_chars: int = 12 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words and ``ids``, the words' results in order of
     position (``sums``: their sum as ``total``; each word's result is then one number).
 
