@@ -20,7 +20,7 @@ ARTIFACT = r"<artifact:[^<>\s]+>"
 def normal_answer(text: Column) -> Column:
     """Lower case, without punctuation and the articles a, an, the, white space collapsed."""
     bare = F.translate(F.lower(text), PUNCTUATION, "")
-    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"\b(a|an|the)\b", " "), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(bare, r"(?U)\b(a|an|the)\b", " "), r"\s+", " "))
 
 
 def token_f1(prediction: Column, truth: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtrace.functions.lineage import cut
 from loomtrace.functions.names import jitter
 
 
@@ -65,19 +66,17 @@ def expected_trajectory(df: DataFrame, chain: str) -> DataFrame:
 
 
 def depths(spans: DataFrame, key: str, most: int = 64) -> DataFrame:
-    """Depth by parent links: 0 for spans without a parent in the table; cycles get none."""
-    ids = spans.select(key, F.col("span_id"), F.col("parent_id"))
-    known = ids.select(key, F.col("span_id").alias("parent_id")).distinct()
-    roots = ids.join(known, [key, "parent_id"], "left_anti").select(key, "span_id", F.lit(0).alias("depth"))
-    out, level, depth = roots, roots, 0
-    children = ids.select(key, F.col("span_id"), "parent_id")
-    while depth < most:
-        depth += 1
-        level = children.join(level.select(key, F.col("span_id").alias("parent_id")), [key, "parent_id"]).select(key, "span_id", F.lit(depth).alias("depth"))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    return out
+    """Depth by parent links: 0 for spans whose parent isn't in the table; spans on or under a
+    cycle, or deeper than ``most``, get none. Ancestors double each round, so the rounds are the
+    logarithm of the depth; each is checkpointed, so that it is one join."""
+    ids = spans.select(key, "span_id", "parent_id")
+    known = ids.select(key, F.col("span_id").alias("parent_id"), F.lit(1).alias("_there")).distinct()
+    rows = ids.join(known, [key, "parent_id"], "left").select(key, "span_id", F.when(F.col("_there") == 1, F.col("parent_id")).alias("up"), F.coalesce("_there", F.lit(0)).alias("depth"))
+    for _ in range(max(1, most.bit_length())):
+        rows = cut(rows)
+        above = rows.select(key, F.col("span_id").alias("up"), F.col("up").alias("_up2"), F.col("depth").alias("_more"))
+        rows = rows.join(above, [key, "up"], "left").select(key, "span_id", F.col("_up2").alias("up"), (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"))
+    return rows.where("up is null").select(key, "span_id", "depth")
 
 
 def schema_slots(schemas: DataFrame, column: str, depth: int = 4) -> DataFrame:
