@@ -14,7 +14,6 @@ with n windows that happens with probability n^2 / 2^65.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,7 +80,7 @@ def _blocks(window: int, buckets: int, block_chars: int):
             hashes, of = hashes[at], ids[doc[at]]
             known = repeats(hashes, of)
             text_keys = np.fromiter((xxhash.xxh64_intdigest(t.encode(), 42) for t in texts), np.uint64, len(texts))
-            home = zlib.crc32(str(block).encode()) % buckets
+            home = xxhash.xxh64_intdigest(str(block)) % buckets
             rows = [(HEAD, home, block, pack(ids, text_keys, lens)), (LOCAL, home, block, pack(np.diff(at[known], prepend=np.uint32(0))))]
             at, hashes, of = at[~known], hashes[~known], of[~known]
             bucket = (hashes & np.uint64(buckets - 1)).astype(np.int64)

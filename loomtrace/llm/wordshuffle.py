@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +81,7 @@ def _blocks(split: Callable[[str], list], buckets: int, block_chars: int):
             rank[order] = np.arange(len(raw), dtype=np.uint32)
             raw = [raw[k] for k in order.tolist()]
             bucket = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % np.uint32(buckets)
-            home = zlib.crc32(str(block).encode()) % buckets
+            home = xxhash.xxh64_intdigest(str(block)) % buckets
             out = [(BLOCK, home, block, -1, pack(np.array(ids, np.int64), lens, rank[codes] if len(raw) else codes, bucket))]
             by = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[by], prepend=-1))
