@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import text_of
+from loomtrace.llm.common import cut, text_of
 
 # The patterns of the base kinds, and of public token formats.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -98,5 +98,6 @@ def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, past: Da
     if past is not None:
         spans = spans.unionByName(past.select("blob", "kind", "rank", "start", "end"))
     findings = spans.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
+    findings = cut(findings)  # few; dealt anew when joined to paths, so that a blob of very many paths can be split over tasks
     scanned = blobs.select("blob", F.lit(rule_version).alias("rule_version"))
     return findings, scanned if ledger is None else ledger.select("blob", "rule_version").unionByName(scanned)
