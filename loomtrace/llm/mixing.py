@@ -22,6 +22,12 @@ from pyspark.sql import functions as F
 from loomtrace.llm.common import WORD, cut, hashed, text_of
 
 BINS, LEVELS = 256, 3
+SALTS = 64  # a source's rows are dealt over so many keys where they meet its one row
+
+
+def _to_sources(rows: DataFrame, sources: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows joined to the one row of their source, on (source, salt)."""
+    return rows.join(sources.withColumn("_lt_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), ["_lt_s", "_lt_salt"], how)
 
 
 def source_targets(totals: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
@@ -68,15 +74,15 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: floa
 
     p = F.col("_lt_p")
     odds = (F.col("_lt_u") / (1 - F.col("_lt_u"))) / (p / (1 - p))
-    ranked = rows.withColumn("_lt_s", key).join(targets, "_lt_s")
+    ranked = _to_sources(rows.withColumns({"_lt_s": key, "_lt_salt": F.pmod("_lt_row", F.lit(SALTS)).cast("int")}), targets)
     ranked = ranked.withColumn("_lt_rank", F.when(p > 0, odds / (1 + odds)))  # in (0, 1), increasing in the odds
-    pool = ranked.where((p > 0) & (F.col("size") > 0)).select("_lt_s", "_lt_id", "_lt_row", "size", "_lt_rank")
+    pool = ranked.where((p > 0) & (F.col("size") > 0)).select("_lt_s", "_lt_salt", "_lt_id", "_lt_row", "size", "_lt_rank")
 
     # where the cumulative words cross the quota: (bin, words before it) a source, refined level by level
     state = targets.where(p > 0).select("_lt_s", F.lit(0).cast("long").alias("_lt_bin"), F.col("_lt_quota").alias("_lt_left"))
     for level in range(1, LEVELS + 1):
         at = F.floor(F.col("_lt_rank") * float(BINS**level)).cast("long")
-        inside = pool.withColumn("_lt_fine", at).join(state, "_lt_s").where(F.floor(F.col("_lt_fine") / BINS) == F.col("_lt_bin"))
+        inside = _to_sources(pool.withColumn("_lt_fine", at), state).where(F.floor(F.col("_lt_fine") / BINS) == F.col("_lt_bin"))
         sums = inside.groupBy("_lt_s", "_lt_fine").agg(F.sum("size").alias("_lt_sum"), F.first("_lt_left").alias("_lt_left"))
         w = Window.partitionBy("_lt_s").orderBy("_lt_fine")
         sums = sums.withColumn("_lt_to", F.sum("_lt_sum").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -90,17 +96,18 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: floa
         ))
 
     at = F.floor(F.col("_lt_rank") * float(BINS**LEVELS)).cast("long")
-    near = pool.join(state, "_lt_s").withColumn("_lt_side", F.signum(at - F.col("_lt_bin")))
+    near = _to_sources(pool, state).withColumn("_lt_side", F.signum(at - F.col("_lt_bin")))
     w = Window.partitionBy("_lt_s").orderBy("_lt_rank", "_lt_row", "_lt_id")
     edge = near.where("_lt_side = 0").withColumn("_lt_to", F.sum("size").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     edge = cut(edge.where(F.col("_lt_to") <= F.col("_lt_left")).select("_lt_s", "_lt_id", "_lt_to"))
     filled = edge.groupBy("_lt_s").agg(F.max("_lt_to").alias("_lt_used"))
-    rest = near.join(edge.select("_lt_id"), "_lt_id", "left_anti").where("_lt_side >= 0").join(filled, "_lt_s", "left")
+    rest = _to_sources(near.join(edge.select("_lt_id"), "_lt_id", "left_anti").where("_lt_side >= 0"), filled, "left")
     gap = F.col("_lt_left") - F.coalesce("_lt_used", F.lit(0))
-    best = rest.where(F.abs(gap - F.col("size")) < gap).groupBy("_lt_s").agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("d"), "_lt_rank", "_lt_row", "_lt_id")).alias("b"))
+    best = rest.where(F.abs(gap - F.col("size")) < gap).groupBy("_lt_s", "_lt_salt").agg(F.min(F.struct(F.abs(gap - F.col("size")).alias("d"), "_lt_rank", "_lt_row", "_lt_id")).alias("b"))
+    best = best.groupBy("_lt_s").agg(F.min("b").alias("b"))
     extra = edge.select("_lt_id").unionByName(best.select(F.col("b._lt_id").alias("_lt_id"))).withColumn("_lt_in", F.lit(1))
 
-    out = ranked.join(state.select("_lt_s", "_lt_bin"), "_lt_s", "left").join(extra, "_lt_id", "left")
+    out = _to_sources(ranked, state.select("_lt_s", "_lt_bin"), "left").join(extra, "_lt_id", "left")
     drawn = F.when((p > 0) & (F.col("size") > 0) & ((at < F.col("_lt_bin")) | F.col("_lt_in").isNotNull()), 1).otherwise(0)
     copies = (F.col("_lt_whole") + drawn).cast("int")
     return out.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).cast("long").alias("taken"), "_lt_row", "_lt_id")
