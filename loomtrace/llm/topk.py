@@ -123,9 +123,9 @@ def top_k(queries: DataFrame, candidates: DataFrame, k: int = 20, shard: int = 8
     candidates of other ids and equal dimension, ties to the smaller id; fewer if there are fewer.
 
     Both inputs are (id, vec) of integers, as from ``quantised``. Repeated ids are candidates
-    each; a repeated query is answered as one. No candidates or no queries give no rows.
+    each; a repeated query is answered for its smallest vector. No candidates or no queries give no rows.
     """
-    queries = queries.dropDuplicates(["id"])
+    queries = queries.groupBy("id").agg(F.min("vec").alias("vec"))
     spark = candidates.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "512")
     sparts = max(1, -(-candidates.count() // shard))

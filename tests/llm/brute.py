@@ -161,7 +161,8 @@ def topk(vectors, k=20):
 
     rows = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in vectors if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for i, q in {i: (i, q) for i, q in rows if i % 20 == 0}.values():
+    for i in sorted({i for i, _ in rows if i % 20 == 0}):
+        q = min(q for j, q in rows if j == i)
         best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in rows if j != i and len(v) == len(q))[:k]
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     return out
