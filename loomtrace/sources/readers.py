@@ -7,8 +7,6 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LINE = "path string, line_no long, value string"
-
 
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -16,12 +14,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no, value), numbered from 1 within each file: files are read whole lines at a time
-    by one task each, in order, so the number is a place in the file."""
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split("value", "\r?\n")).alias("_i", "value"))
-    last = F.max("_i").over(Window.partitionBy("path"))
-    rows = files.withColumn("_l", last).where((F.col("value") != "") | (F.col("_i") < F.col("_l")))
-    return rows.select("path", (F.col("_i") + 1).cast("long").alias("line_no"), "value")
+    """(path, line_no, value), numbered from 1 within each file.
+
+    Files are read in splits: a row's place within its split comes from its id, and the splits'
+    numbers of lines, one row a split, give what comes before. No file is read by one task."""
+    rows = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_id"), "value")
+    splits = rows.groupBy("path", "_b").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy("path").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    return rows.join(splits, ["path", "_b"]).select("path", (F.col("_before") + F.col("_id") - F.col("_first") + 1).alias("line_no"), "value")
 
 
 def divert_json(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -116,8 +117,8 @@ def json_or_empty(value: Column) -> Column:
 
 def records(spark: SparkSession, path: str) -> DataFrame:
     """.json documents and .jsonl rows of a folder as (name, v); a row's name is ``stem__NNNNNN.jsonl``."""
-    text = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    docs = text.option("pathGlobFilter", "*.json").text(path).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), "value")
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.json")
+    docs = reader.text(path, wholetext=True).select(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), "value")
     lines = numbered_lines(spark, f"{path}/*.jsonl").where(F.trim("value") != "")
     stem = F.regexp_extract("path", r"([^/]+)\.jsonl$", 1)
     rows = lines.select(F.format_string("%s__%06d.jsonl", stem, "line_no").alias("name"), "value")
