@@ -59,20 +59,45 @@ def importance_weights(log_p: Column, log_q: Column, mask: Column, level: str, l
     return F.zip_with(ratios, mask, lambda r, m: F.when(m == 1, bound(each(r))).otherwise(0.0))
 
 
-def decision_reward(name: Column, required: Column, critical: Column, configurable: Column, fmt: Column) -> Column:
-    """A mix of five scores in [0, 1] on a scale from -0.5 to 1."""
-    q = 0.10 * fmt + 0.55 * critical + 0.10 * required + 0.10 * configurable + 0.15 * name
-    return F.least(F.lit(1.0), F.greatest(F.lit(-0.5), 1.5 * q - 0.5))
+def decision_reward(valid: Column, name_f1: Column, predicted: Column, wanted: Column, param_name: Column, param_value: Column, matched: Column) -> Column:
+    """A tool decision on a scale from -0.5 to 1, names first: 0.10 for the format, 0.55 for the
+    names' F1, 0.10 for the number of calls, 0.10 and 0.15 for parameters' names and values. An
+    invalid envelope or no name right is -0.5 whatever else holds."""
+    most = F.greatest(predicted, wanted)
+    complete = F.when(most > 0, 1 - F.abs(predicted - wanted) / most).otherwise(1.0)
+    quality = 0.10 * valid.cast("double") + 0.55 * name_f1 + 0.10 * complete + 0.10 * param_name + 0.15 * param_value
+    return F.when(~valid | (matched == 0), -0.5).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(-0.5), 1.5 * quality - 0.5)))
 
 
 def scaled_score(score: Column, local_max: Column) -> Column:
     return 6.0 * score / local_max - 3.0
 
 
-def efficiency(done: Column, steps: Column, most: int) -> Column:
-    """A bonus for a final answer, a penalty for running out, less what the steps used."""
-    base = F.when(done == "final_answer", 0.2).when(done.isin("max_steps", "truncated"), -0.2).otherwise(0.0)
-    return F.least(F.lit(1.0), F.greatest(F.lit(-1.0), base - 0.1 * F.least(F.lit(1.0), steps / most)))
+def _within(x: Column) -> Column:
+    return F.least(F.lit(0.1), F.greatest(F.lit(-0.2), x))
+
+
+def efficiency(done: Column, steps: Column, most: int | None = None) -> Column:
+    """A tenth for a final answer, minus a tenth for running out, minus up to 0.15 for steps over half the most."""
+    base = F.when(done == "final_answer", 0.1).when(done.isin("length", "max_steps", "fatal_error", "abort"), -0.1).otherwise(0.0)
+    over = F.least(F.lit(0.15), F.greatest(F.lit(0), steps - most // 2) * 0.01) if most else F.lit(0.0)
+    return _within(base - over)
+
+
+def progress(actions: Column, observations: Column) -> Column:
+    """0.05 for any observation, minus 0.05 (0.2 at most) for each action equal to the one before it."""
+    repeats = F.size(F.filter(actions, lambda x, i: (i > 0) & (x == F.get(actions, i - 1))))
+    return _within(F.when(F.size(observations) > 0, 0.05).otherwise(0.0) - F.least(F.lit(0.2), repeats * 0.05))
+
+
+def em_reward(valid: Column, answer: Column, golds: Column, retrieved: Column, structure: float = 0.2, final: float = 0.1, retrieval: float = 0.1, full: float = 1.0) -> Column:
+    """A ladder over (valid format, exact match, retrieval hit): a match without the format loses the
+    structure's share, an invalid format without an answer is 0."""
+    from loomtrace.functions.text import exact_match
+
+    fair = F.when(retrieved, structure + retrieval).otherwise(F.lit(structure))
+    match = F.coalesce(exact_match(answer, golds), F.lit(False))
+    return F.when(answer.isNull(), F.when(valid, fair).otherwise(0.0)).when(match, F.when(valid, full).otherwise(full - structure)).when(valid, fair).otherwise(F.lit(final))
 
 
 def score_value(p, g, tolerance: float = 1e-6) -> float:
