@@ -113,8 +113,8 @@ def q_compact_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def q_near_thoughts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.slice(F.split("text", "\n"), 1, 12).alias("lines"))
-    return d.select("doc_id", F.size("lines").cast("long").alias("n"), F.size(C.merge_near_thoughts("lines")).cast("long").alias("left"))
+    d = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split("text", "\n").alias("lines"))
+    return d.select("conv_id", "turn", F.size("lines").cast("long").alias("n"), F.size(C.merge_near_thoughts("lines")).cast("long").alias("left"))
 
 
 @query()

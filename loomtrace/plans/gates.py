@@ -238,11 +238,11 @@ def q_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH e AS (SELECT user_id, d AS day FROM (SELECT DISTINCT user_id FROM events), range(1, 4) AS r(d)) SELECT user_id, CAST(day AS BIGINT) AS day FROM e ANTI JOIN (SELECT user_id, day(ts) AS day FROM events) a USING (user_id, day)
+WITH e AS (SELECT user_id, d AS day FROM (SELECT DISTINCT user_id FROM events), range(1, 31) AS r(d)) SELECT user_id, CAST(day AS BIGINT) AS day FROM e ANTI JOIN (SELECT user_id, day(ts) AS day FROM events) a USING (user_id, day)
 """)
 def q_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
-    expected = e.select("user_id").distinct().withColumn("day", F.explode(F.array(*[F.lit(d).cast("long") for d in (1, 2, 3)])))
+    expected = e.select("user_id").distinct().withColumn("day", F.explode(F.array(*[F.lit(d).cast("long") for d in range(1, 31)])))
     return expected.join(e.select("user_id", F.dayofmonth("ts").cast("long").alias("day")).distinct(), ["user_id", "day"], "left_anti")
 
 

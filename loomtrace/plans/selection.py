@@ -138,7 +138,7 @@ def q_candidate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("source", "target", joined("supports").alias("supports"), "alternative")
 
 
-EDGES = "e AS (SELECT DISTINCT c_nationkey AS source, (c_nationkey * 7 + c_custkey % 3) % 25 AS target FROM customer WHERE c_custkey <= 300)"
+EDGES = "e AS (SELECT DISTINCT c_nationkey AS source, (c_nationkey * 7 + c_custkey % 3) % 25 AS target FROM customer)"
 
 
 @query(f"""
@@ -146,7 +146,7 @@ WITH {EDGES}, p1 AS (SELECT [source, target] AS p FROM e WHERE source <> target
 p3 AS (SELECT list_append(p, target) AS p FROM p2 JOIN e ON e.source = p[-1] WHERE NOT list_contains(p, target)) SELECT array_to_string(p, '>') AS path FROM p3
 """)
 def q_simple_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer").where("c_custkey <= 300")
+    c = table(spark, sf_dir, "customer")
     e = c.select(F.col("c_nationkey").cast("long").alias("source"), ((F.col("c_nationkey") * 7 + F.col("c_custkey") % 3) % 25).cast("long").alias("target"))
     return G.simple_paths(e, 3).select(F.array_join(F.col("path").cast("array<string>"), ">").alias("path"))
 
@@ -162,24 +162,24 @@ def q_edge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT user_id, list(event_type ORDER BY ts, event_id)[:3] AS c FROM events GROUP BY user_id)
+WITH f AS (SELECT user_id, event_type, min((ts, event_id)) AS first FROM events GROUP BY ALL), t AS (SELECT user_id, list(event_type ORDER BY first) AS c FROM f GROUP BY user_id)
 SELECT user_id, array_to_string(list_transform(range(1, len(c) + 1), lambda i: printf('tool::%02d::%s', i - 1, c[i])), ',') AS nodes, CAST(greatest(len(c) - 1, 0) AS BIGINT) AS n_edges FROM t
 """)
 def q_expected_trajectory(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomtrace.plans.base import chains
 
-    rows = chains(spark, sf_dir).select("user_id", F.slice("chain", 1, 3).alias("chain"))
+    rows = chains(spark, sf_dir).select("user_id", F.array_distinct("chain").alias("chain"))
     return G.expected_trajectory(rows, "chain").select("user_id", joined("nodes").alias("nodes"), F.size("edges").cast("long").alias("n_edges"))
 
 
 @query("""
-WITH RECURSIVE s AS (SELECT user_id, event_id AS span_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) END AS parent_id FROM events WHERE user_id <= 20),
+WITH RECURSIVE s AS (SELECT user_id, event_id AS span_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) END AS parent_id FROM events),
 d AS (SELECT user_id, span_id, 0 AS depth FROM s WHERE parent_id IS NULL UNION ALL SELECT s.user_id, s.span_id, d.depth + 1 FROM s JOIN d ON s.user_id = d.user_id AND s.parent_id = d.span_id WHERE d.depth < 64)
 SELECT depth, count(*) AS n FROM d GROUP BY depth
 """)
 def q_span_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     prev = F.lag("event_id").over(Window.partitionBy("user_id").orderBy("event_id"))
-    s = table(spark, sf_dir, "events").where("user_id <= 20").select("user_id", F.col("event_id").alias("span_id"), F.when(F.col("event_id") % 4 != 0, prev).alias("parent_id"))
+    s = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("span_id"), F.when(F.col("event_id") % 4 != 0, prev).alias("parent_id"))
     return G.depths(s, "user_id").groupBy("depth").agg(F.count("*").alias("n"))
 
 
@@ -250,13 +250,13 @@ def q_keyword_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id < 10),
+WITH q AS (SELECT vec_id AS query_id, embedding AS e FROM embeddings WHERE vec_id % 20 = 0),
 s AS (SELECT query_id, v.vec_id, round(list_inner_product(list_transform(q.e, lambda x: x::DOUBLE), list_transform(v.embedding, lambda x: x::DOUBLE)), 6) AS score FROM q, embeddings v)
 SELECT query_id, vec_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s QUALIFY rank <= 5
 """)
 def q_dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    return R.dense_top(e.where("vec_id < 10"), e, 5, "vec_id", "embedding").withColumn("rank", F.col("rank").cast("long"))
+    return R.dense_top(e.where("vec_id % 20 = 0"), e, 5, "vec_id", "embedding").withColumn("rank", F.col("rank").cast("long"))
 
 
 @query("""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from loomtrace.functions import sets
+from loomtrace.functions.sequences import bigrams
 from loomtrace.operators import gates
 from loomtrace.operators import stats as A
 from loomtrace.plans.base import CHAINS, DAILY, chains, daily, joined, r6, table
@@ -186,26 +187,28 @@ def q_log_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH {CHAINS}, s AS (SELECT user_id, user_id % 10 AS block, list_distinct(chain[:4]) AS t FROM chains),
+WITH {CHAINS}, s AS (SELECT user_id, user_id % 10 AS block, list_distinct(list_transform(range(1, len(chain)), lambda i: chain[i] || '>' || chain[i + 1])) AS t FROM chains WHERE len(chain) > 1),
 p AS (SELECT a.block, a.user_id AS u, b.user_id AS v, 1 - len(list_intersect(a.t, b.t)) / len(list_distinct(a.t || b.t)) AS d FROM s a JOIN s b ON a.block = b.block AND a.user_id < b.user_id)
 SELECT block, count(*) AS pairs, round(avg(d), 6) AS mean_distance, round(min(d), 6) AS least, count(*) FILTER (WHERE d = 0) AS equal FROM p GROUP BY block
 """)
 def q_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unordered pairs within blocks: the blocks keep the pairs linear in the number of blocks."""
-    s = chains(spark, sf_dir).select("user_id", (F.col("user_id") % 10).alias("block"), F.array_distinct(F.slice("chain", 1, 4)).alias("t"))
+    s = chains(spark, sf_dir).select("user_id", (F.col("user_id") % 10).alias("block"), F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"]))).alias("t"))
+    s = s.where(F.size("t") > 0)
     b = s.select("block", F.col("user_id").alias("v"), F.col("t").alias("t2"))
     p = s.join(b, "block").where("user_id < v").withColumn("d", sets.jaccard_distance(F.col("t"), F.col("t2")))
     return p.groupBy("block").agg(F.count("*").alias("pairs"), r6(F.avg("d")).alias("mean_distance"), r6(F.min("d")).alias("least"), F.count_if(F.col("d") == 0).alias("equal"))
 
 
 @query(f"""
-WITH {CHAINS}, s AS (SELECT user_id, user_id % 2 AS side, list_sort(list_distinct(chain[:3])) AS t FROM chains),
+WITH s AS (SELECT user_id, user_id % 2 AS side, list_sort(list_distinct(list(event_type))) AS t FROM events WHERE value > 40 GROUP BY user_id),
 p AS (SELECT a.user_id AS u, max(len(list_intersect(a.t, b.t)) / len(list_distinct(a.t || b.t))) AS best, bool_or(a.t = b.t) AS same FROM s a JOIN (SELECT DISTINCT t FROM s WHERE side = 1) b ON true WHERE a.side = 0 GROUP BY a.user_id)
 SELECT count(*) AS n, round(avg(best), 6) AS mean_best, round(avg(CASE WHEN same THEN 1.0 ELSE 0.0 END), 6) AS exact_rate FROM p
 """)
 def q_group_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nearest neighbours of one group in another, over distinct sets: there are at most 2^types of them."""
-    s = chains(spark, sf_dir).select("user_id", (F.col("user_id") % 2).alias("side"), F.array_sort(F.array_distinct(F.slice("chain", 1, 3))).alias("t"))
+    e = table(spark, sf_dir, "events").where("value > 40")
+    s = e.groupBy("user_id", (F.col("user_id") % 2).alias("side")).agg(F.array_sort(F.collect_set("event_type")).alias("t"))
     left = s.where("side = 0").groupBy("t").agg(F.count("*").alias("n"))
     right = s.where("side = 1").select(F.col("t").alias("t2")).distinct()
     near = left.join(F.broadcast(right)).groupBy("t", "n").agg(F.max(1 - sets.jaccard_distance(F.col("t"), F.col("t2"))).alias("best"), F.bool_or(F.col("t") == F.col("t2")).alias("same"))

@@ -27,14 +27,15 @@ def normal(x: str) -> str:
 
 
 @query(f"""
-WITH a AS (SELECT item_id, {normal("b.text")} AS p, {normal("substr(b.text, 1, 60)")} AS g FROM benchmark b),
+WITH a AS (SELECT b.item_id, {normal("b.text")} AS p, {normal("n.text")} AS g FROM benchmark b JOIN benchmark n ON n.item_id = b.item_id + 1),
 t AS (SELECT item_id, p, g, list_filter(string_split(p, ' '), lambda w: w <> '') AS x, list_filter(string_split(g, ' '), lambda w: w <> '') AS y FROM a),
 c AS (SELECT *, list_sum(list_transform(list_intersect(list_distinct(x), list_distinct(y)), lambda w: least(len(list_filter(x, lambda z: z = w)), len(list_filter(y, lambda z: z = w))))) AS s FROM t)
 SELECT item_id, sha256(p) AS normal_sha256, round(coalesce(2 * (s / len(x)) * (s / len(y)) / (s / len(x) + s / len(y)), 0), 6) AS f1, round(coalesce(s / len(x), 0), 6) AS "precision", p = g AS "exact" FROM c
 """)
 def q_answer_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = table(spark, sf_dir, "benchmark")
-    head = F.substring("text", 1, 60)
+    head = F.col("next")
+    b = b.join(b.select((F.col("item_id") - 1).alias("item_id"), F.col("text").alias("next")), "item_id")
     f = C.token_f1(F.col("text"), head)
     rows = b.select("item_id", F.sha2(C.normal_answer(F.col("text")), 256).alias("normal_sha256"), f.alias("f"), C.exact_match(F.col("text"), F.array(head)).alias("exact"))
     return rows.select("item_id", "normal_sha256", r6(F.col("f.f1")).alias("f1"), r6(F.col("f.precision")).alias("precision"), "exact")
@@ -84,22 +85,22 @@ def q_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events QUALIFY i <= 30)
+WITH t AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events)
 SELECT a.user_id, a.i, round(sum(b.value * pow(0.9048374180359595, b.i - a.i)), 6) AS g FROM t a JOIN t b ON a.user_id = b.user_id AND b.i >= a.i GROUP BY a.user_id, a.i
 """)
 def q_discounted_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.transform(F.slice(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), 1, 30), lambda x: x["value"])
+    seq = F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), lambda x: x["value"])
     rows = table(spark, sf_dir, "events").groupBy("user_id").agg(W.discounted_returns(seq, 0.9048374180359595).alias("g"))
     return rows.select("user_id", F.posexplode("g").alias("p", "v")).select("user_id", (F.col("p") + 1).cast("long").alias("i"), F.round("v", 6).alias("g"))
 
 
 @query("""
-WITH t AS (SELECT user_id, value / 100 AS r, event_id % 7 / 10.0::DOUBLE AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events QUALIFY i <= 20),
+WITH t AS (SELECT user_id, value / 100 AS r, event_id % 7 / 10.0::DOUBLE AS v, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
 d AS (SELECT user_id, i, r + 0.99 * coalesce(lead(v) OVER (PARTITION BY user_id ORDER BY i), 0) - v AS d FROM t)
 SELECT a.user_id, a.i, round(sum(b.d * pow(0.99 * 0.95, b.i - a.i)), 6) AS advantage FROM d a JOIN d b ON a.user_id = b.user_id AND b.i >= a.i GROUP BY a.user_id, a.i
 """)
 def q_gae(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seq = F.slice(F.array_sort(F.collect_list(F.struct("ts", "event_id", "value"))), 1, 20)
+    seq = F.array_sort(F.collect_list(F.struct("ts", "event_id", "value")))
     rows = table(spark, sf_dir, "events").groupBy("user_id").agg(seq.alias("s"))
     r, v = F.transform("s", lambda x: x["value"] / 100), F.transform("s", lambda x: (x["event_id"] % 7) / F.lit(10.0))
     rows = rows.select("user_id", r.alias("r"), v.alias("v")).select("user_id", W.gae(F.col("r"), F.col("v"), 0.99, 0.95).alias("a"))
@@ -119,12 +120,12 @@ def q_policy_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT user_id, event_id % 5 / 10.0::DOUBLE - event_id % 3 / 10.0::DOUBLE AS r, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS m, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events QUALIFY i <= 12),
+WITH t AS (SELECT user_id, event_id % 5 / 10.0::DOUBLE - event_id % 3 / 10.0::DOUBLE AS r, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END AS m, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i FROM events),
 s AS (SELECT *, sum(r * m) OVER (PARTITION BY user_id) / greatest(sum(m) OVER (PARTITION BY user_id), 1) AS g FROM t)
 SELECT user_id, round(sum(CASE WHEN m = 1 THEN least(1.2, exp(r)) ELSE 0 END), 6) AS token_sum, round(sum(CASE WHEN m = 1 THEN least(1.2, greatest(0.9, exp(g))) ELSE 0 END), 6) AS geometric_sum FROM s GROUP BY user_id
 """)
 def q_importance_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = F.slice(F.array_sort(F.collect_list(F.struct("event_id", "event_type"))), 1, 12)
+    e = F.array_sort(F.collect_list(F.struct("event_id", "event_type")))
     rows = table(spark, sf_dir, "events").groupBy("user_id").agg(e.alias("s"))
     p, q = F.transform("s", lambda x: (x["event_id"] % 5) / F.lit(10.0)), F.transform("s", lambda x: (x["event_id"] % 3) / F.lit(10.0))
     m = F.transform("s", lambda x: F.when(x["event_type"] == "error", 0).otherwise(1))
