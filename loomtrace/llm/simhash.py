@@ -131,9 +131,7 @@ def near_links(fps: DataFrame, most: int = 2, most_pairs: int = 4096) -> DataFra
 
 
 def near_groups(docs: DataFrame, shingle: int = 3, most: int = 2, tables: int = 1, text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, _lt_key (the text's hash), fps, component_id, and
-    keeper, true for one row of each component: of its smallest id, and of a text of the
-    smallest hash there (equal rows of id and text are all keepers).
+    """One row per row of ``docs``: doc_id, _lt_key (the text's hash), fps, component_id.
 
     Rows are linked whose fingerprints of some table differ in at most ``most`` bits, an even
     number; component_id is the smallest doc_id reachable over links, the row's own included.
@@ -150,23 +148,27 @@ def near_groups(docs: DataFrame, shingle: int = 3, most: int = 2, tables: int =
     links = near_links(each.select("tab", "fp").distinct(), most)
     links = links.select("u", "v") if tables == 1 else links.select(F.xxhash64("tab", "u").alias("u"), F.xxhash64("tab", "v").alias("v"))
     first = F.xxhash64(F.lit(0), F.element_at("fps", 1)) if tables > 1 else F.element_at("fps", 1)
-    if tables > 1:  # a document's fingerprints of all tables are one node
-        links = links.unionByName(each.select(first.alias("u"), node.alias("v")))
+    if tables > 1:
+        # a document's fingerprints are joined through its first one; those that are neither linked nor another
+        # document's too lead nowhere and stay out of the rounds
+        links = cut(links)
+        own = cut(each.select(first.alias("u"), node.alias("v")))
+        shared = own.groupBy("v").agg(F.count("*").alias("n")).where("n > 1").select("v")
+        linked = links.select("v").unionByName(links.select(F.col("u").alias("v"))).unionByName(shared).distinct()
+        links = links.unionByName(own.join(linked, "v", "left_semi").select("u", "v"))
     roots = components(links)
     mine = distinct.withColumn("node", first).join(roots, "node", "left").select("fps", "least", F.coalesce("root", "node").alias("root"))
     mine = cut(mine)
-    named = mine.groupBy("root").agg(F.min("least").alias("component")).join(mine.select("root", "fps"), "root").select("fps", "component")
+    # one row a component, dealt anew for the join, so that a component of very many fingerprints can be split
+    least = cut(mine.groupBy("root").agg(F.min("least").alias("component")))
+    named = mine.select("root", "fps").join(least, "root").select("fps", "component")
     out = rows.join(named, "fps")
-    keepers = out.where(F.col("_lt_doc") == F.col("component")).groupBy(F.col("component").alias("_lt_c")).agg(F.min("_lt_key").alias("_lt_k"))
-    if tables == 1:
-        return out.select(shown_id("_lt_doc").alias("doc_id"), "_lt_key", "fps", shown_id("component").alias("component_id"))
-    out = out.join(keepers, F.col("component") == F.col("_lt_c"))
-    keeper = (F.col("_lt_doc") == F.col("component")) & (F.col("_lt_key") == F.col("_lt_k"))
-    return out.select(shown_id("_lt_doc").alias("doc_id"), "_lt_key", "fps", shown_id("component").alias("component_id"), keeper.alias("keeper"))
+    return out.select(shown_id("_lt_doc").alias("doc_id"), "_lt_key", "fps", shown_id("component").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, most: int = 2, tables: int = 8, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with one of each group of near copies, all columns kept.
+    """The rows of ``docs`` with one of each group of near copies, all columns kept: a row of the
+    group's smallest id, of several such one whose text's hash is smallest.
 
     Groups are those of ``near_groups`` over several word fingerprints: copies that share 0.8 of
     their five-word shingles differ in two words of a hundred, which moves few bits of a
@@ -175,7 +177,8 @@ def drop_near_copies(docs: DataFrame, most: int = 2, tables: int = 8, text: str
     probability; unrelated texts differ in over ten bits.
     """
     groups = near_groups(docs, most=most, tables=tables, text=text)
-    stay = groups.where("keeper").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_lt_doc"), F.col("_lt_key")).distinct()
+    own = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    stay = own.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_lt_doc")).agg(F.min("_lt_key").alias("_lt_key"))
     keyed = docs.withColumns({"_lt_doc": id_of(docs), "_lt_key": F.xxhash64(text_of(docs, text))}).join(stay, ["_lt_doc", "_lt_key"])
     place = F.row_number().over(Window.partitionBy("_lt_doc", "_lt_key").orderBy(F.lit(1)))  # dealt and sorted by the join
     return keyed.withColumn("_lt_place", place).where("_lt_place = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
