@@ -46,4 +46,5 @@ def gather(starts: np.ndarray, lens: np.ndarray, picks: np.ndarray) -> np.ndarra
     n = lens[picks]
     ends = np.cumsum(n)
     total = int(ends[-1]) if len(ends) else 0
-    return np.arange(total) + np.repeat(starts[picks] - (ends - n), n)
+    kind = np.int32 if max(total, int(lens.sum())) < 1 << 31 else np.int64
+    return np.arange(total, dtype=kind) + np.repeat((starts[picks] - (ends - n)).astype(kind), n)

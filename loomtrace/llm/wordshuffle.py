@@ -153,7 +153,7 @@ def _sums(table: pa.Table) -> pa.Table:
 
 
 def apply_to_words(docs: DataFrame, split: Callable[[str], list], work: Callable[[list[bytes]], list[list[int]]],
-                   sums: bool = False, text: str = "text", block_chars: int = 12 << 20) -> DataFrame:
+                   sums: bool = False, text: str = "text", block_chars: int = 16 << 20) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_words and ``ids``, the words' results in order of
     position (``sums``: their sum as ``total``; each word's result is then one number).
 
