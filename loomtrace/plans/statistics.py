@@ -192,7 +192,7 @@ p AS (SELECT a.block, a.user_id AS u, b.user_id AS v, 1 - len(list_intersect(a.t
 SELECT block, count(*) AS pairs, round(avg(d), 6) AS mean_distance, round(min(d), 6) AS least, count(*) FILTER (WHERE d = 0) AS equal FROM p GROUP BY block
 """)
 def q_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unordered pairs within blocks: the blocks keep the pairs linear in the number of blocks."""
+    """Unordered pairs within blocks only; q_jaccard_block_pairs has those of all blocks."""
     s = chains(spark, sf_dir).select("user_id", (F.col("user_id") % 10).alias("block"), F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"]))).alias("t"))
     s = s.where(F.size("t") > 0)
     b = s.select("block", F.col("user_id").alias("v"), F.col("t").alias("t2"))
@@ -200,6 +200,19 @@ def q_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.groupBy("block").agg(F.count("*").alias("pairs"), r6(F.avg("d")).alias("mean_distance"), r6(F.min("d")).alias("least"), F.count_if(F.col("d") == 0).alias("equal"))
 
 
+@query(f"""
+WITH {CHAINS}, s AS (SELECT user_id, user_id % 10 AS block, list_distinct(list_transform(range(1, len(chain)), lambda i: chain[i] || '>' || chain[i + 1])) AS t FROM chains WHERE len(chain) > 1),
+p AS (SELECT least(a.block, b.block) AS block_a, greatest(a.block, b.block) AS block_b, 1 - len(list_intersect(a.t, b.t)) / len(list_distinct(a.t || b.t)) AS d FROM s a JOIN s b ON a.user_id < b.user_id)
+SELECT block_a, block_b, count(*) AS pairs, round(avg(d), 6) AS mean_distance, round(min(d), 6) AS least, count(*) FILTER (WHERE d = 0) AS equal FROM p GROUP BY ALL
+""")
+def q_jaccard_block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All unordered pairs of users by their blocks, over distinct sets of transitions and how many users of a block have each."""
+    steps = F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"])))
+    s = chains(spark, sf_dir).select((F.col("user_id") % 10).alias("block"), steps.alias("t")).where(F.size("t") > 0)
+    out = A.set_pairs(s, "block", "t")
+    return out.withColumns({"mean_distance": r6(F.col("mean_distance")), "least": r6(F.col("least"))})
+
+
 @query(f"""
 WITH s AS (SELECT user_id, user_id % 2 AS side, list_sort(list_distinct(list(event_type))) AS t FROM events WHERE value > 40 GROUP BY user_id),
 p AS (SELECT a.user_id AS u, max(len(list_intersect(a.t, b.t)) / len(list_distinct(a.t || b.t))) AS best, bool_or(a.t = b.t) AS same FROM s a JOIN (SELECT DISTINCT t FROM s WHERE side = 1) b ON true WHERE a.side = 0 GROUP BY a.user_id)
