@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -14,11 +16,16 @@ def dot(a: Column, b: Column) -> Column:
 def dense_top(queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str, most_queries: int = 4096) -> DataFrame:
     """(query_id, key, score, rank): each query's best rows of the corpus, ties to the smaller key.
 
-    The corpus is scanned once against a broadcast block of queries, whose number is checked;
-    per query only the k best of each task are shuffled."""
-    n = queries.count()
-    if n > most_queries:
-        raise ValueError(f"{n} queries: search them in blocks of {most_queries}")
+    The corpus is scanned once against each broadcast block of about ``most_queries`` queries; of
+    more queries the blocks are dealt by key, so that rows of one key stay together. Per query
+    only the k best of each task are shuffled."""
+    blocks = max(1, -(-queries.count() // most_queries))
+    place = F.pmod(F.xxhash64(key), F.lit(blocks))
+    found = [_dense_block(queries.where(place == b) if blocks > 1 else queries, corpus, k, key, vector) for b in range(blocks)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _dense_block(queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str) -> DataFrame:
     q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
     rows = corpus.select(key, vector).join(F.broadcast(q)).withColumn("score", F.round(dot(F.col("_q"), F.col(vector)), 6))
     part = Window.partitionBy("query_id", "_part").orderBy(F.desc("score"), key)

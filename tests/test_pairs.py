@@ -3,7 +3,7 @@
 from collections import defaultdict
 from itertools import combinations
 
-from loomtrace.operators import stats
+from loomtrace.operators import retrieval, stats
 
 
 def test_set_pairs(spark):
@@ -15,3 +15,12 @@ def test_set_pairs(spark):
     got = stats.set_pairs(spark.createDataFrame(rows, "block long, t array<string>"), "block", "t").collect()
     assert sum(r.pairs for r in got) == 28
     assert {(r.block_a, r.block_b): (r.pairs, round(r.mean_distance, 9), r.least, r.equal) for r in got} == {k: (len(v), round(sum(v) / len(v), 9), min(v), v.count(0)) for k, v in want.items()}
+
+
+def test_dense_top_blocks(spark):
+    """More queries than a block holds give what one block gives."""
+    rows = [(i, [float((i * k) % 11 - 5) for k in range(1, 9)]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    one = {tuple(r) for r in retrieval.dense_top(df, df, 3, "id", "v").collect()}
+    assert len(one) == 180
+    assert {tuple(r) for r in retrieval.dense_top(df, df, 3, "id", "v", most_queries=7).collect()} == one
