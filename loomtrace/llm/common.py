@@ -43,7 +43,10 @@ def cut(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomtrace-checkpoints-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    del df
+    context._jvm.System.gc()  # Spark removes the shuffle files of what the rows came from only when the driver collects its garbage
+    return done
 
 
 def small_batches(spark: SparkSession, rows: int = 512) -> None:

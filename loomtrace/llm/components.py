@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomtrace.llm.common import cut
 
+#: Links that one task contracts at a time.
+BLOCK = 1 << 18
+
 
 def _least(pairs: DataFrame) -> DataFrame:
     """Per node u of (u, v): the least of u and its neighbours, joined to its rows. The least
@@ -14,17 +21,45 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.join(pairs.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m")), "u")
 
 
-def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
+def least_of(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nodes of links that are not the least of their component, and those least ones."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while (root[a] != root[b]).any():
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        np.minimum.at(root, high, low)
+        while (root[root] != root).any():
+            root = root[root]
+    other = root != np.arange(len(nodes))
+    return nodes[other], nodes[root[other]]
+
+
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+    if parts:
+        u, v = least_of(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
+def components(links: DataFrame, most_rounds: int = 60, block: int = BLOCK) -> DataFrame:
     """(node, root): each node of the links (u, v), two longs, with its component's least node.
+    Links of a node to itself and repeated ones don't count; those with a null are left out.
 
-    Alternating large-star and small-star rounds: every round points nodes at the least
-    neighbour they know of, so that chains shorten by a factor each time, and the number of
-    links never grows. Each round is checkpointed and compared with the one before by a count
-    and a checksum, which is all that reaches the driver.
+    Blocks of about ``block`` links are contracted first, each to links from its nodes to the
+    least one reachable within it, of which there are fewer than nodes. Of a single block that is
+    the result. Several go on with alternating large-star and small-star rounds: every round
+    points nodes at the least neighbour they know of, so that chains shorten by a factor each
+    time, and the number of links never grows. Each round is checkpointed and compared with the
+    one before by a count and a checksum, which is all that reaches the driver.
     """
     edges = cut(links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    blocks = max(1, -(-edges.count() // block))
+    edges = cut(edges.repartition(blocks).mapInArrow(_contract, "u long, v long"))
     mark = None
     for _ in range(most_rounds):
+        if blocks == 1:
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         near = _least(large)

@@ -54,13 +54,29 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(bits, bitorder="little").view(np.uint64)[0])
 
 
+class _Stripped(dict):
+    """Words and the hashes of what is left of them without what is neither letter nor digit at
+    their ends, 0 if nothing is; as far as remembered, on which only speed depends."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= 1 << 20:
+            self.clear()
+        own = word if word.isalnum() else EDGES.sub("", word)
+        self[word] = found = xxhash.xxh64_intdigest(own.encode(), 42) if own else 0
+        return found
+
+
+STRIPPED = _Stripped()
+
+
 def word_fingerprints(text: str, tables: int) -> list[int]:
     """Independent fingerprints over a text's distinct words, lower-cased and without what is
     neither letter nor digit at their ends. No words: zeros."""
-    words = {w for x in text.lower().split() if (w := EDGES.sub("", x))}
-    if not words:
+    words = set(text.lower().split())
+    base = np.unique(np.fromiter(map(STRIPPED.__getitem__, words), np.uint64, len(words)))
+    base = base[base != 0]
+    if not len(base):
         return [0] * tables
-    base = np.fromiter((xxhash.xxh64_intdigest(w.encode(), 42) for w in words), np.uint64, len(words))
     out = []
     for t in range(tables):
         h = base + np.uint64((t + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
@@ -98,24 +114,31 @@ def _segments(most: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
 
 
-def _index(fps: DataFrame, most: int) -> DataFrame:
-    """(tab, seg, val, own, fp): a row a segment as it is (own), and one a set bit with it cleared."""
+def segment_index(fps: DataFrame, most: int, of: str = "fp") -> DataFrame:
+    """(tab, seg, val, own, ``of``) from (tab, fp, ``of``): a row a segment as it is (own), and
+    one a set bit with it cleared."""
     rows = []
     for s, (shift, width) in enumerate(_segments(most)):
         mask = F.lit((1 << width) - 1).cast("long")
         rows.append(F.struct(F.lit(s).alias("seg"), F.shiftrightunsigned("fp", shift).bitwiseAND(mask).alias("val")))
-    segments = fps.select("tab", "fp", F.explode(F.array(*rows)).alias("s")).select("tab", "fp", "s.seg", "s.val")
+    segments = fps.select("tab", of, F.explode(F.array(*rows)).alias("s")).select("tab", of, "s.seg", "s.val")
     set_bits = F.filter(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.getbit("val", b) == 1)
     cleared = F.transform(set_bits, lambda b: F.struct((F.col("val") - F.call_function("shiftleft", F.lit(1).cast("long"), b)).alias("val"), F.lit(False).alias("own")))
     variants = F.concat(F.array(F.struct(F.col("val").alias("val"), F.lit(True).alias("own"))), cleared)
-    return segments.select("tab", "fp", "seg", F.explode(variants).alias("v")).select("tab", "seg", "v.val", "v.own", "fp")
+    return segments.select("tab", of, "seg", F.explode(variants).alias("v")).select("tab", "seg", "v.val", "v.own", of)
+
+
+def dealt(fps: DataFrame, most_rows: int = 1 << 18) -> DataFrame:
+    """``fps`` over so many tasks that each makes at most about ``most_rows`` rows of the index:
+    a fingerprint makes some 2 + BITS / 2, so few rows in are many out."""
+    return fps.repartition(max(1, -(-fps.count() * (2 + BITS // 2) // most_rows)), "fp")
 
 
 def near_links(fps: DataFrame, most: int = 2, most_pairs: int = 4096) -> DataFrame:
     """(tab, u, v) of distinct (tab, fp): every pair of a table that differs in at most ``most``
     bits is joined or, where it shares only crowded keys, connected through links of this table."""
     key = ["tab", "seg", "val"]
-    index = _index(fps, most)
+    index = segment_index(dealt(fps), most)
     # an own segment meets own ones and cleared ones; cleared ones need not meet each other
     counts = index.groupBy(*key).agg(F.count_if("own").alias("a"), F.count("*").alias("b")).where("a >= 1 and b >= 2")
     shared = cut(index.join(counts, key))
