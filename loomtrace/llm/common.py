@@ -32,6 +32,16 @@ def shown_id(column: str) -> Column:
     return F.when(F.col(column) != NO_ID, F.col(column))
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """``docs`` with columns c0, c1 ... so that no name clashes with an operator's own; the new name
+    of each old one, of equal ones the first's; and what selects the columns by their old names."""
+    new = [f"c{i}" for i in range(len(docs.columns))]
+    of: dict[str, str] = {}
+    for old, c in zip(docs.columns, new, strict=True):
+        of.setdefault(old, c)
+    return docs.toDF(*new), of, [F.col(c).alias(old) for old, c in zip(docs.columns, new, strict=True)]
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, kept in the shared checkpoint folder, so that what follows
     neither recomputes them nor depends on an executor's own disk.

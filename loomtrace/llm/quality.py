@@ -4,10 +4,12 @@ Every rule rejects a document whose measure exceeds a cutoff. Cutoffs come from
 grid. Labelled holdouts give, per stratum, rule and cutoff, how many good documents
 there are (n) and how many it would reject (r). A cutoff is safe if the hypothesis
 "the false rejection rate is above ``risk``" is rejected by the exact binomial test,
-P(Bin(n, risk) <= r) <= alpha / tests, with ``tests`` the number of strata times rules
-times cutoffs (Bonferroni), so that with probability 1 - alpha all cutoffs in force are
-safe at once. The lowest safe cutoff of each stratum and rule is applied; where none is
-safe (too few labels), the rule rejects nothing in that stratum.
+P(Bin(n, risk) <= r) <= alpha / families, with ``families`` the number of strata times rules.
+Within a family cutoffs are tested in a fixed sequence, from the one that rejects least, up to
+the first that isn't safe; so each family errs with probability alpha / families at most however
+long its grid is, and with probability 1 - alpha all cutoffs in force are safe at once. The last
+safe cutoff of each stratum and rule is applied; where the first is not safe (too few labels),
+the rule rejects nothing in that stratum.
 """
 
 from __future__ import annotations
@@ -86,34 +88,52 @@ def ratios(m: str = "_lt_m") -> dict[str, Column]:
     }
 
 
+def log_factorial(n: Column) -> Column:
+    """ln n! by Stirling's series at n + 9, where its first terms have the precision of a double."""
+    x = n + 9.0
+    series = (x - 0.5) * F.log(x) - x + 0.5 * math.log(2 * math.pi) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * x * x * x * x * x)
+    below = n + 1.0
+    for k in range(2, 9):
+        below = below * (n + float(k))
+    return series - F.log(below)
+
+
 def log_binomial_tail(n: Column, r: Column, rate: float) -> Column:
-    """ln P(Bin(n, rate) <= r), summed term by term in logarithms; 0 from r >= rate * n on,
-    where the tail cannot be small."""
-    ratio = math.log(rate) - math.log1p(-rate)
-    start = n * math.log1p(-rate)
+    """ln P(Bin(n, rate) <= r); 0 from r >= rate * n on, where the tail cannot be small.
+
+    Terms are summed from the largest, that of r, downwards, each from the one before. Below the
+    mean they fall faster than those of a normal distribution, so that all beyond 12 standard
+    deviations are below the precision of a double: their number is bounded by that and by r.
+    """
+    odds = math.log1p(-rate) - math.log(rate)
+    largest = log_factorial(n) - log_factorial(r) - log_factorial(n - r) + r * math.log(rate) + (n - r) * math.log1p(-rate)
+    count = F.least(r.cast("double"), F.ceil(12 * F.sqrt(n * rate * (1 - rate))) + 64).cast("long")
 
-    def step(a: Column, k: Column) -> Column:
-        term = a["t"] + F.log((n - k + 1) / k) + ratio
-        high, low = F.greatest(a["s"], term), F.least(a["s"], term)
-        return F.struct(term.alias("t"), (high + F.log1p(F.exp(low - high))).alias("s"))
+    def step(a: Column, j: Column) -> Column:
+        k = r - j + 1  # from the term of k to that of k - 1
+        term = a["t"] + F.log(k / (n - k + 1)) + odds
+        return F.struct(term.alias("t"), (a["s"] + F.exp(term)).alias("s"))
 
-    terms = F.when(r >= 1, F.sequence(F.lit(1).cast("long"), r)).otherwise(F.array().cast("array<bigint>"))
-    total = F.aggregate(terms, F.struct(start.alias("t"), start.alias("s")), step)["s"]
-    return F.when(r >= rate * n, F.lit(0.0)).otherwise(total)
+    steps = F.when(count >= 1, F.sequence(F.lit(1).cast("long"), count)).otherwise(F.array().cast("array<bigint>"))
+    total = F.aggregate(steps, F.struct(F.lit(0.0).alias("t"), F.lit(1.0).alias("s")), step)["s"]
+    return F.when(r >= rate * n, F.lit(0.0)).otherwise(largest + F.log(total))
 
 
 def safe_cutoffs(scored: DataFrame, stratum: str, good: str, risk: float = 0.02, alpha: float = 0.05, grid=None) -> DataFrame:
-    """(stratum, rule, cutoff): the lowest safe cutoff, from labelled rows with a column
-    per rule of ``grid`` and a boolean ``good``. Strata without a safe cutoff are absent."""
+    """(stratum, rule, cutoff): the last safe cutoff of the sequence, from labelled rows with a column
+    per rule of ``grid`` and a boolean ``good``. Strata without a safe cutoff are absent. Null
+    measures exceed nothing; rows whose ``good`` is null are no labels."""
     grid = grid or GRID
     pairs = [(rule, c) for rule, cutoffs in grid.items() for c in cutoffs]
     sums = [F.sum(F.when(F.col(good) & (F.col(rule) > c), 1).otherwise(0)).cast("long").alias(f"r{i}") for i, (rule, c) in enumerate(pairs)]
     counts = scored.groupBy(F.col(stratum).alias("stratum")).agg(F.sum(F.when(F.col(good), 1).otherwise(0)).cast("long").alias("n"), *sums)
-    tests = F.count("*").over(Window.partitionBy()) * len(pairs)
+    counts = cut(counts)
+    families = max(1, counts.count() * len(grid))
     each = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), F.lit(float(c)).alias("cutoff"), F.col(f"r{i}").alias("r")) for i, (rule, c) in enumerate(pairs)]))
-    rows = counts.withColumn("tests", tests).withColumn("e", each).select("stratum", "n", "tests", "e.*")
-    safe = rows.where(log_binomial_tail(F.col("n"), F.col("r"), risk) <= F.log(F.lit(alpha) / F.col("tests")))
-    return safe.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
+    rows = counts.withColumn("e", each).select("stratum", "n", "e.*")
+    rows = rows.withColumn("safe", log_binomial_tail(F.col("n"), F.col("r"), risk) <= math.log(alpha / families))
+    sequence = Window.partitionBy("stratum", "rule").orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("safe", F.every("safe").over(sequence)).where("safe").groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, alpha: float = 0.05) -> DataFrame:

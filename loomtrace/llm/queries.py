@@ -11,7 +11,7 @@ from loomtrace.llm.common import table
 from loomtrace.llm.lines import dedup_lines
 from loomtrace.llm.mixing import mix_sources
 from loomtrace.llm.quality import judge
-from loomtrace.llm.secrets import blobs_of, scan_versions
+from loomtrace.llm.secrets import blobs_of, scan_commits
 from loomtrace.llm.simhash import near_groups
 from loomtrace.llm.substrings import dedup_substrings
 from loomtrace.llm.tokencounts import token_counts
@@ -50,7 +50,9 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    findings, _ = scan_versions(docs)
+    # a history of two commits; what the first holds, the second finds in the ledger
+    late = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 1, F.lit(False))
+    findings, _ = scan_commits([docs.where(~late), docs.where(late)])
     rows = docs.select("doc_id", blobs_of(docs).alias("blob")).join(findings, "blob", "left")
     spans = F.coalesce("spans", F.array().cast(findings.schema["spans"].dataType))
     shown = lambda which: F.array_join(F.transform(which, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

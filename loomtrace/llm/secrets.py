@@ -81,23 +81,52 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return rows.where(F.col("size") >= F.element_at(least, at)).select("blob", F.element_at(kinds, at).alias("kind"), "rank", "start", "end")
 
 
-def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, past: DataFrame | None = None, text: str = "text",
-                  rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
-    """(findings, ledger) for a table of paths and versions.
+SPANS = ["blob", "rule_version", "kind", "rank", "start", "end"]
 
-    ``ledger`` holds (blob, rule_version) pairs scanned before and ``past`` their spans;
-    both may be absent. Findings are (blob, spans) with all spans of a blob as an array of
-    (start, rank, kind, end); the ledger returned also holds the pairs scanned now. Join
-    findings to paths by ``blobs_of``. Null texts are empty; empty texts have no finding.
-    """
+
+def scan_unseen(versions: DataFrame, ledger: DataFrame | None = None, text: str = "text", rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """(spans, pairs): the spans (columns SPANS) of the blobs that ``ledger`` doesn't hold under
+    ``rule_version``, and the (blob, rule_version) pairs scanned, also those without a span."""
     blobs = versions.select(blobs_of(versions, text).alias("blob"), text_of(versions, text).alias("text"))
     blobs = blobs.groupBy("blob").agg(F.first("text").alias("text"))  # equal addresses hold equal texts; merged on the map side
     if ledger is not None:
         blobs = blobs.join(ledger.where(F.col("rule_version") == rule_version).select("blob"), "blob", "left_anti")
-    spans = scan_blobs(blobs, rules)
-    if past is not None:
-        spans = spans.unionByName(past.select("blob", "kind", "rank", "start", "end"))
-    findings = spans.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
-    findings = cut(findings)  # few; dealt anew when joined to paths, so that a blob of very many paths can be split over tasks
-    scanned = blobs.select("blob", F.lit(rule_version).alias("rule_version"))
+    spans = scan_blobs(blobs, rules).withColumn("rule_version", F.lit(rule_version)).select(*SPANS)
+    return spans, blobs.select("blob", F.lit(rule_version).alias("rule_version"))
+
+
+def findings_of(spans: DataFrame, rule_version: str = RULE_VERSION) -> DataFrame:
+    """(blob, spans): all spans of a blob under ``rule_version`` as an array of (start, rank, kind, end)."""
+    own = spans.where(F.col("rule_version") == rule_version)
+    return own.groupBy("blob").agg(F.array_sort(F.collect_list(F.struct("start", "rank", "kind", "end"))).alias("spans"))
+
+
+def scan_versions(versions: DataFrame, ledger: DataFrame | None = None, past: DataFrame | None = None, text: str = "text",
+                  rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """(findings, ledger) for a table of paths and versions.
+
+    ``ledger`` holds (blob, rule_version) pairs scanned before and ``past`` the spans found for
+    them (columns SPANS); both may be absent. Findings are those of ``findings_of`` under
+    ``rule_version``, of blobs scanned now and, from ``past``, of pairs that the ledger holds;
+    spans under other versions don't count. The ledger returned also holds the pairs scanned now.
+    Join findings to paths by ``blobs_of``. Null texts are empty; empty texts have no finding;
+    repeated rows are one blob; other columns of ``versions``, whatever their names, are not used.
+    """
+    spans, scanned = scan_unseen(versions, ledger, text, rules, rule_version)
+    if past is not None and ledger is not None:
+        pairs = ledger.select("blob", "rule_version").distinct()
+        spans = spans.unionByName(past.select(*SPANS).distinct().join(pairs, ["blob", "rule_version"], "left_semi").select(*SPANS))
+    findings = cut(findings_of(spans, rule_version))  # few; dealt anew when joined to paths, so that a blob of very many paths can be split over tasks
     return findings, scanned if ledger is None else ledger.select("blob", "rule_version").unionByName(scanned)
+
+
+def scan_commits(commits: list[DataFrame], text: str = "text", rules: tuple[Rule, ...] = RULES, rule_version: str = RULE_VERSION) -> tuple[DataFrame, DataFrame]:
+    """(findings, ledger) after a history of commits, each a table of versions: the ledger and the
+    spans are written after each, and the next scans only what they don't hold."""
+    ledger = spans = None
+    for versions in commits:
+        found, scanned = scan_unseen(versions, ledger, text, rules, rule_version)
+        found, scanned = cut(found), cut(scanned)
+        ledger = scanned if ledger is None else ledger.unionByName(scanned)
+        spans = found if spans is None else spans.unionByName(found)
+    return cut(findings_of(spans, rule_version)), ledger

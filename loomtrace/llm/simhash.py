@@ -59,7 +59,7 @@ class _Stripped(dict):
     their ends, 0 if nothing is; as far as remembered, on which only speed depends."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= 1 << 15:
             self.clear()
         own = word if word.isalnum() else EDGES.sub("", word)
         self[word] = found = xxhash.xxh64_intdigest(own.encode(), 42) if own else 0

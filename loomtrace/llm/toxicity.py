@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import cut, small_batches, text_of
+from loomtrace.llm.common import cut, numbered, small_batches, text_of
 
 # Characters stripped from a word's ends, and the words and marks that context windows look for.
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’‚…–—¡¿"
@@ -216,17 +216,18 @@ def _uses(terms: set[str], lexicon: Lexicon | None = None):
     return run
 
 
-def learn_lexicon(sample: DataFrame, least_rows: int = 3, least_contexts: int = 5, most_terms: int = 20_000, least_lift: float = 15.0) -> Lexicon:
+def learn_lexicon(sample: DataFrame, least_rows: int = 3, least_contexts: int = 5, least_lift: float = 15.0) -> Lexicon:
     """From (_lt_text, _lt_toxic). A term's lift is its rate in toxic rows over that in clean ones;
     of stems that are each other's prefixes the one that tells most is kept. What reaches the
-    driver is bounded by ``most_terms``."""
+    driver are terms and words of the sample, whose rows are bounded: terms that ``least_rows``
+    toxic rows use in ``least_contexts`` contexts, and words near an entry."""
     toxic, clean = sample.where("_lt_toxic = 1").select("_lt_text"), sample.where("_lt_toxic = 0").select("_lt_text")
     sizes = {r["_lt_toxic"]: r["count"] for r in sample.groupBy("_lt_toxic").count().collect()}
     terms = toxic.mapInArrow(_terms, "term string, word string, row long, near long")
     terms = terms.groupBy("term").agg(F.count_distinct("row").alias("rows"), F.count_distinct("near").alias("contexts"), F.count_distinct("word").alias("words"))
-    terms = terms.where((F.col("rows") >= least_rows) & (F.col("contexts") >= least_contexts)).orderBy(F.desc("rows"), "term").limit(most_terms)
+    terms = terms.where((F.col("rows") >= least_rows) & (F.col("contexts") >= least_contexts))
     found = {r["term"]: r for r in terms.collect()}
-    used = clean.mapInArrow(_uses(set(found)), "term string").groupBy("term").count().orderBy("term").limit(most_terms)
+    used = clean.mapInArrow(_uses(set(found)), "term string").groupBy("term").count()
     uses = {r["term"]: r["count"] for r in used.collect()}
     lift = {t: (r["rows"] + 0.5) / (sizes[1] + 1) * (sizes.get(0, 0) + 1) / (uses.get(t, 0) + 0.5) for t, r in found.items()}
     weight = {t: min(1.0, max(0.2, (math.log(x) - 2) / 2)) for t, x in lift.items() if x >= least_lift}
@@ -238,7 +239,7 @@ def learn_lexicon(sample: DataFrame, least_rows: int = 3, least_contexts: int =
     words = {t[:-1]: weight[t] for t in weight if t[-1] == "\0" and len(t) > 3 and not any(t.startswith(k) for k in stems)}
     # an entry among whose neighbours clean rows have many words says nothing about a misspelling
     trial = Lexicon(words, stems, near=frozenset(w for w in words if len(w) >= 4))
-    near = clean.mapInArrow(_uses(set(), trial), "term string").groupBy("term").count().orderBy(F.desc("count"), "term").limit(most_terms)
+    near = clean.mapInArrow(_uses(set(), trial), "term string").distinct()
     pairs = [r["term"].split("\0") for r in near.collect()]
     crowded = Counter(entry for _, entry in pairs)
     return Lexicon(words, stems, frozenset(w for w, _ in pairs), frozenset(w for w in trial.near if crowded[w] <= 2))
@@ -285,11 +286,13 @@ MATCH = pa.struct([("position", pa.int32()), ("word", pa.string()), ("entry", pa
 
 
 def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows and columns of ``docs`` with ``_lt_score`` (0 to 1) and ``_lt_matches``, an array of
-    (position, word, entry, weight, quoted). Null and empty texts have no match and score low."""
+    """The rows and columns of ``docs``, whatever their names, and last ``_lt_score`` (0 to 1) and
+    ``_lt_matches``, an array of (position, word, entry, weight, quoted). Null and empty texts have
+    no match and score low; equal rows score alike; a text is held in memory whole."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
+    docs, _, back = numbered(docs)
     names = [*docs.columns, "_lt_score", "_lt_matches"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -300,4 +303,5 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([own.score(f) for f in found], pa.float64()), pa.array(fields, pa.list_(MATCH))], names=names)
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    return docs.mapInArrow(run, f"{fields}, _lt_score double, _lt_matches array<struct<position:int,word:string,entry:string,weight:double,quoted:boolean>>")
+    out = docs.mapInArrow(run, f"{fields}, _lt_score double, _lt_matches array<struct<position:int,word:string,entry:string,weight:double,quoted:boolean>>")
+    return out.select(*back, "_lt_score", "_lt_matches")

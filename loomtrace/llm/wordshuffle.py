@@ -43,19 +43,35 @@ def buckets_for(docs: DataFrame, text: str = "text", chars: int = 1 << 23, least
 
 
 def blocks_of(batches: Iterator[pa.RecordBatch], block_chars: int) -> Iterator[tuple[int, list[int], list[str]]]:
-    """Whole documents of about ``block_chars`` characters: (block, ids, texts). A block's
-    number is unique: the task's partition and a counter."""
-    ids, texts, chars, block = [], [], 0, TaskContext.get().partitionId() << 32
+    """Whole documents of about ``block_chars`` characters: (block, ids, texts).
+
+    A block's number is a hash of its task's partition, its place there and its documents' ids
+    and lengths. A repeated task that reads its documents in another order therefore makes
+    other numbers, and what an earlier attempt has sent to some tasks is found without a head
+    or a head without it, which raises: it can't be taken for another block's.
+    """
+    ids, texts, chars, place = [], [], 0, 0
+
+    def number() -> int:
+        known = np.array([TaskContext.get().partitionId(), place, *ids, *map(len, texts)], np.int64)
+        return xxhash.xxh64_intdigest(known.tobytes()) >> 1
+
     for batch in batches:
         for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             ids.append(i)
             texts.append(t)
             chars += len(t)
             if chars >= block_chars:
-                yield block, ids, texts
-                ids, texts, chars, block = [], [], 0, block + 1
+                yield number(), ids, texts
+                ids, texts, chars, place = [], [], 0, place + 1
     if ids:
-        yield block, ids, texts
+        yield number(), ids, texts
+
+
+def whole_block(head, found: int) -> None:
+    """Raises if a block's rows come from two attempts of a task; ``found`` rows came, without the head's."""
+    if head is None or len(np.unique(head[-1])) != found:
+        raise RuntimeError("a task was repeated over documents in another order: read them from files or a checkpoint")
 
 
 def code_words(texts: list[str], split: Callable[[str], list]) -> tuple[list, np.ndarray, np.ndarray]:
@@ -118,6 +134,7 @@ def _joined(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
             head = unpack(payload.as_py())
         else:
             parts[part] = unpack(payload.as_py())
+    whole_block(head, len(parts))
     ids, lens, codes, bucket = head
     by = np.argsort(bucket, kind="stable")
     empty = np.zeros(0, np.uint32)
