@@ -10,9 +10,11 @@ import heapq
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtrace.operators.sampling import numbered
+
 
 def greedy_partition(lengths: list[int], k: int) -> list[int]:
     """The bin of each item in input order: the least loaded, the first of equal ones."""
@@ -109,9 +111,8 @@ def schedule(df: DataFrame, rollout: str, order: str, length: str, per_step: int
     """Steps of ``per_step`` rollouts (a tail of fewer is dropped), packed within each step to
     micro-batches of at most ``capacity`` tokens, as many as a multiple of ``ranks``, dealt in turn:
     (step, bin, rank) for every kept sample, each placed once."""
-    place = df.groupBy(rollout).agg(F.min(order).alias("_first"))
-    w = Window.orderBy("_first")
-    place = place.withColumn("step", F.floor((F.row_number().over(w) - 1) / per_step))
+    place = numbered(df.groupBy(rollout).agg(F.min(order).alias("_first")), ["_first"], "_place")
+    place = place.withColumn("step", F.floor((F.col("_place") - 1) / per_step))
     full = place.groupBy("step").agg(F.count("*").alias("_n")).where(F.col("_n") == per_step)
     rows = df.join(place.join(full, "step").select(rollout, "step"), rollout)
     names, schema = rows.columns, ", ".join([*(f"`{c}` {t}" for c, t in rows.dtypes), "bin int", "rank int"])

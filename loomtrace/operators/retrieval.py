@@ -38,13 +38,21 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^a-z0-9]+"), lambda w: w != "")
 
 
-def bm25_top(queries: DataFrame, corpus: DataFrame, k: int, key: str, text: str, k1: float = 0.9, b: float = 0.4) -> DataFrame:
+def bm25_top(queries: DataFrame, corpus: DataFrame, k: int, key: str, text: str, k1: float = 0.9, b: float = 0.4, most_terms: int = 1000) -> DataFrame:
     """(query_id, key, score, rank) by BM25 with ln(1 + (N - df + .5) / (df + .5)). Only terms of the
-    queries are counted; queries are (query_id, query)."""
+    queries are counted; queries are (query_id, query). Up to ``most_terms`` distinct terms are looked
+    up within each text, so that no word is shuffled but those; more are joined."""
     docs = corpus.select(key, tokens(F.col(text)).alias("_w")).withColumn("_len", F.size("_w"))
     stats = docs.agg(F.count("*").alias("_n"), F.avg("_len").alias("_avg"))
     terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    tf = docs.select(key, "_len", F.explode("_w").alias("term")).join(terms.select("term").distinct(), "term", "left_semi").groupBy(key, "_len", "term").agg(F.count("*").alias("tf"))
+    wanted = terms.select("term").distinct()
+    if wanted.limit(most_terms + 1).count() <= most_terms:  # a checked size: texts are cut to these terms where they are read
+        known = F.array(*[F.lit(r["term"]) for r in wanted.collect()]).cast("array<string>")
+        hits = docs.withColumn("_hit", F.array_intersect("_w", known)).where(F.size("_hit") > 0)
+        tf = hits.select(key, "_len", "_w", F.explode("_hit").alias("term"))
+        tf = tf.select(key, "_len", "term", F.size(F.filter("_w", lambda w: w == F.col("term"))).cast("long").alias("tf"))
+    else:
+        tf = docs.select(key, "_len", F.explode("_w").alias("term")).join(wanted, "term", "left_semi").groupBy(key, "_len", "term").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
     rows = tf.join(df, "term").join(F.broadcast(stats))  # stats: one row
     idf = F.log(1 + (F.col("_n") - F.col("df") + 0.5) / (F.col("df") + 0.5))

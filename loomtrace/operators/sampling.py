@@ -5,9 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtrace.functions.lineage import cut
 from loomtrace.functions.names import jitter
 
 
+def numbered(df: DataFrame, order: list[Column | str], name: str) -> DataFrame:
+    """``df`` with its rows' places in an order, from 1 in ``name``: partitioned by ranges of the order,
+    numbered within each partition and moved on by the sizes of those before, so no task has more
+    than a range. The driver gets one count a partition. Rows equal in the order, or null in part of
+    it, are numbered in any order, which the checkpoint keeps."""
+    ranged = cut(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    sizes = sorted((r["_part"], r["count"]) for r in ranged.groupBy("_part").count().collect())
+    before, starts = 0, []
+    for part, n in sizes:
+        starts.append((part, before))
+        before += n
+    offsets = df.sparkSession.createDataFrame(starts, "_part int, _before long")
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return ranged.withColumn("_own", own).join(F.broadcast(offsets), "_part").withColumn(name, F.col("_own") + F.col("_before")).drop("_part", "_own", "_before")
+
+
 def stratum_winners(df: DataFrame, strata: list[str], key: str, seed: str = "0") -> DataFrame:
     """One row a stratum: of the smallest SHA-256(seed:key); an aggregation, no sort of the table."""
     rank = F.sha2(F.concat_ws(":", F.lit(seed), F.col(key).cast("string")), 256)
@@ -37,9 +54,8 @@ def wrapped_batch(df: DataFrame, order: str, offset: int, n: int, copies: int =
     total = df.count()
     if not total:
         return df.withColumns({"group_index": F.lit(0).cast("long"), "index": F.lit(0).cast("long")}).limit(0)
-    w = Window.orderBy(order)
-    rows = df.withColumn("_p", F.row_number().over(w) - 1)
-    picks = df.sparkSession.range(n).select(F.col("id").alias("group_index"), ((F.col("id") + offset) % total).cast("int").alias("_p"))
+    rows = numbered(df, [order], "_p").withColumn("_p", F.col("_p") - 1)
+    picks = df.sparkSession.range(n).select(F.col("id").alias("group_index"), ((F.col("id") + offset) % total).alias("_p"))
     rows = rows.join(F.broadcast(picks), "_p").drop("_p")  # n rows, a batch
     return rows.withColumn("_c", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))).withColumn("index", F.col("group_index") * copies + F.col("_c")).drop("_c")
 
@@ -56,15 +72,13 @@ def quota_choice(df: DataFrame, quotas: dict[str, int], key: str, seed: str) ->
 def rank_with_unscored(df: DataFrame, scores: DataFrame, key: str, score: str, place: str) -> DataFrame:
     """Scored rows by their least score, then unscored ones; ties and unscored keep their place."""
     best = scores.groupBy(key).agg(F.min(score).alias("best_score"))
-    rows = df.join(best, key, "left")
-    order = Window.orderBy(F.col("best_score").asc_nulls_last(), place)
-    return rows.withColumn("new_place", F.row_number().over(order))
+    return numbered(df.join(best, key, "left"), [F.col("best_score").asc_nulls_last(), F.col(place)], "new_place")
 
 
 def length_probes(df: DataFrame, length: str, key: str, fractions: tuple[float, ...] = (0.0, 0.5, 0.95, 1.0), width: int = 1) -> DataFrame:
     """Rows around rank round((n - 1) * f) by length, ``width`` on either side, with the tier."""
     n = df.count()
-    ranked = df.withColumn("_r", F.row_number().over(Window.orderBy(length, key)) - 1)
+    ranked = numbered(df, [length, key], "_r").withColumn("_r", F.col("_r") - 1)
     at = F.explode(F.array(*[F.struct(F.lit(f).alias("tier"), F.lit(round((n - 1) * f)).alias("mid")) for f in fractions]))
     return ranked.withColumn("_t", at).where(F.abs(F.col("_r") - F.col("_t.mid")) <= width).withColumn("tier", F.col("_t.tier")).drop("_t", "_r")
 

@@ -163,3 +163,13 @@ def set_pairs(rows: DataFrame, block: str, items: str, parts: int = 16) -> DataF
     by = [F.least("x.block", "y.block").alias("block_a"), F.greatest("x.block", "y.block").alias("block_b")]
     out = pairs.withColumn("n", many).where("n > 0").groupBy(*by)
     return out.agg(F.sum("n").alias("pairs"), (F.sum(F.col("n") * F.col("d")) / F.sum("n")).alias("mean_distance"), F.min("d").alias("least"), F.sum(F.when(F.col("d") == 0, F.col("n")).otherwise(0)).alias("equal"))
+
+
+def nearest_sets(left: DataFrame, right: DataFrame, items: str, parts: int = 16) -> DataFrame:
+    """(t, n, best, same): each distinct set of ``left`` with its number of rows, its highest Jaccard
+    similarity to a set of ``right``, and whether one is equal. Distinct sets of ``right`` are dealt over
+    ``parts``, which every set of ``left`` meets, so that no task holds all of them."""
+    a = left.groupBy(F.array_sort(items).alias("t")).agg(F.count("*").alias("n")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    b = right.select(F.array_sort(items).alias("t2")).distinct().withColumn("i", F.pmod(F.xxhash64("t2"), F.lit(parts)).cast("int"))
+    near = a.join(b, "i").withColumn("s", 1 - sets.jaccard_distance(F.col("t"), F.col("t2")))
+    return near.groupBy("t", "n").agg(F.max("s").alias("best"), F.bool_or(F.col("t") == F.col("t2")).alias("same"))

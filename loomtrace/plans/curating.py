@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtrace.functions import answers as A
@@ -10,41 +10,64 @@ from loomtrace.operators import curation as C
 from loomtrace.operators import rewards as W
 from loomtrace.plans.base import chains, joined, r6, table
 from loomtrace.plans.registry import query
+from loomtrace.plans.texts import normal
 
 
-@query("""
-WITH k AS (SELECT event_id, event_id % 6 AS k FROM events)
-SELECT event_id, CASE WHEN k IN (0, 4) THEN 'tool_call' WHEN k = 1 THEN 'final_answer' ELSE 'invalid' END AS kind,
-  CASE k WHEN 2 THEN 'text_outside_blocks' WHEN 3 THEN 'mixed_decision' WHEN 5 THEN 'invalid_tool_call' END AS error, CASE k WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 2 ELSE 1 END::BIGINT AS n_blocks FROM k
+#: Blocks made of a message's first words, a kind by each word's length; the same in SQL.
+BLOCK_SQL = """CASE length(w) % 6 WHEN 0 THEN '<thought>' || w || '</thought>' WHEN 1 THEN '<tool_call>{"tool_name":"' || w || '","arguments":{}}</tool_call>' WHEN 2 THEN '<final_answer>{"a":"' || w || '"}</final_answer>'
+  WHEN 3 THEN w WHEN 4 THEN '<tool_call>[1]</tool_call>' ELSE '<observation>{}</observation>' END"""
+
+
+def _block(w: Column) -> Column:
+    n = F.char_length(w) % 6
+    call = F.concat(F.lit('<tool_call>{"tool_name":"'), w, F.lit('","arguments":{}}</tool_call>'))
+    final = F.concat(F.lit('<final_answer>{"a":"'), w, F.lit('"}</final_answer>'))
+    return F.when(n == 0, F.concat(F.lit("<thought>"), w, F.lit("</thought>"))).when(n == 1, call).when(n == 2, final).when(n == 3, w).when(n == 4, "<tool_call>[1]</tool_call>").otherwise("<observation>{}</observation>")
+
+
+@query(rf"""
+WITH t AS (SELECT conv_id, turn, array_to_string(list_transform(string_split(text, ' ')[1:1 + turn % 3], lambda w: {BLOCK_SQL}), chr(10)) AS t FROM conversations),
+b AS (SELECT conv_id, turn, t, regexp_extract_all(t, '(?s)<thought>.*?</thought>|<tool_call>.*?</tool_call>|<final_answer>.*?</final_answer>|<observation>.*?</observation>') AS b FROM t),
+k AS (SELECT *, list_transform(b, lambda x: regexp_extract(x, '^<([a-z_]+)', 1)) AS kinds, list_transform(b, lambda x: regexp_replace(x, '^<[a-z_]+>|</[a-z_]+>$', '', 'g')) AS bodies, regexp_replace(list_reduce(list_concat([t], b), lambda a, x: replace(a, x, '')), '\s+', '', 'g') AS rest FROM b),
+n AS (SELECT *, len(list_filter(kinds, lambda x: x = 'tool_call')) AS calls, len(list_filter(kinds, lambda x: x = 'final_answer')) AS finals, len(list_filter(range(1, len(b) + 1), lambda i: kinds[i] <> 'thought' AND NOT json_valid(bodies[i]))) AS bad,
+  len(list_filter(range(1, len(b) + 1), lambda i: kinds[i] = 'tool_call' AND CASE WHEN json_valid(bodies[i]) THEN json_type(bodies[i]) <> 'OBJECT' OR json_type(bodies[i], '$.arguments') <> 'OBJECT' ELSE false END)) AS loose FROM k),
+e AS (SELECT *, CASE WHEN len(b) = 0 THEN 'no_block' WHEN rest <> '' THEN 'text_outside_blocks' WHEN list_contains(kinds, 'observation') THEN 'observation_by_assistant' WHEN bad > 0 THEN 'invalid_json' WHEN loose > 0 THEN 'invalid_tool_call'
+  WHEN calls > 0 AND finals > 0 THEN 'mixed_decision' WHEN finals > 1 THEN 'several_final_answers' WHEN calls = 0 AND finals = 0 THEN 'no_decision' END AS error FROM n)
+SELECT conv_id, turn, CASE WHEN error IS NOT NULL THEN 'invalid' WHEN finals > 0 THEN 'final_answer' ELSE 'tool_call' END AS kind, error, len(b) AS n_blocks FROM e
 """)
 def q_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    call = F.concat(F.lit('<tool_call>{"tool_name":"'), F.col("event_type"), F.lit('","arguments":{}}</tool_call>'))
-    final, thought = F.lit('<final_answer>{"a":1}</final_answer>'), F.lit("<thought>hm</thought>\n")
-    i = F.col("event_id") % 6
-    text = F.when(i == 0, F.concat(thought, call)).when(i == 1, F.concat(thought, final)).when(i == 2, F.concat(F.lit("so "), call)).when(i == 3, F.concat(call, final)).when(i == 4, F.concat(call, call)).otherwise("<tool_call>[1]</tool_call>")
-    rows = table(spark, sf_dir, "events").select("event_id", text.alias("t"))
+    words = F.slice(F.split("text", " "), F.lit(1), (F.col("turn") % 3 + 1).cast("int"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_join(F.transform(words, _block), "\n").alias("t"))
     d = C.decision(F.col("t"))
-    return rows.select("event_id", d["kind"].alias("kind"), d["error"].alias("error"), F.size(C.blocks(F.col("t"))).cast("long").alias("n_blocks"))
+    return rows.select("conv_id", "turn", d["kind"].alias("kind"), d["error"].alias("error"), F.size(C.blocks(F.col("t"))).cast("long").alias("n_blocks"))
 
 
-@query("""
-SELECT event_id, event_id % 4 IN (0, 1) AS valid, CASE event_id % 4 WHEN 0 THEN 'z' WHEN 1 THEN NULL WHEN 2 THEN event_type END AS answer,
-  round(CASE event_id % 4 WHEN 0 THEN 0.3 WHEN 1 THEN 0.2 WHEN 2 THEN 0.8 ELSE 0.0 END, 6)::DOUBLE AS score FROM events
-""")
+#: What opens a response, by the length of the message: the order of its blocks.
+ORDERS = ("think,answer", "think,search,information,think,answer", "think,search,information,answer", "answer,answer", "think,search,information,think,search,information,think,answer", "think", "think,answer,think")
+
+
+@query(rf"""
+WITH o AS (SELECT conv_id, turn, string_split(text, ' ') AS w, string_split(CASE length(text) % 7 {" ".join(f"WHEN {i} THEN '{o}'" for i, o in enumerate(ORDERS))} END, ',') AS o FROM conversations),
+t AS (SELECT conv_id, turn, w, CASE WHEN len(w) % 4 = 0 THEN '<answer>' || w[1] || '</answer> ' ELSE '' END || CASE WHEN len(w) % 9 = 0 THEN '' ELSE '<|im_start|>assistant' || chr(10) END || array_to_string(list_transform(range(1, len(o) + 1), lambda i: '<' || o[i] || '>' || coalesce(w[i], '') || '</' || o[i] || '>'), ' ') || CASE WHEN len(w) % 5 = 0 THEN ' tail' ELSE '' END AS t FROM o),
+v AS (SELECT conv_id, turn, w, contains(t, '<|im_start|>assistant') AND regexp_full_match(regexp_extract(t, '(?s)<\|im_start\|>assistant\s*(.*)$', 1), '(?s)\s*<think>[^<]*</think>\s*(?:<search>[^<]*</search>\s*<information>[^<]*</information>\s*<think>[^<]*</think>\s*)*<answer>[^<]*</answer>\s*') AS valid,
+  regexp_extract_all(t, '(?s)<answer>(.*?)</answer>', 1) AS a, regexp_extract_all(t, '(?s)<information>(.*?)</information>', 1) AS f FROM t),
+x AS (SELECT conv_id, turn, valid, CASE WHEN len(a) > 1 THEN trim(a[-1]) END AS answer, {{norm_gold}} AS g, f FROM v),
+y AS (SELECT *, len(list_filter(f, lambda i: contains({{norm_i}}, g))) > 0 AS hit, CASE WHEN answer IS NOT NULL THEN {{norm_answer}} = g END AS same FROM x)
+SELECT conv_id, turn, valid, answer, round(CASE WHEN same THEN CASE WHEN valid THEN 1.0 ELSE 0.8 END WHEN valid AND hit THEN 0.3 WHEN valid THEN 0.2 WHEN answer IS NOT NULL THEN 0.1 ELSE 0.0 END, 6)::DOUBLE AS score FROM y
+""".replace("{norm_gold}", normal("coalesce(w[2], '')")).replace("{norm_i}", normal("i")).replace("{norm_answer}", normal("answer")))
 def q_tag_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Search-style responses: the order of tags, the answer, and the ladder of scores."""
-    t, m = F.col("event_type"), "<|im_start|>assistant\n"
-    i = F.col("event_id") % 4
-    text = (
-        F.when(i == 0, F.concat(F.lit(f"q <answer> x </answer>{m}<think>a</think><search>s</search>\n<information>the "), t, F.lit("</information> <think>b</think><answer>z</answer>")))
-        .when(i == 1, F.concat(F.lit(f"{m}<think>a</think><answer>"), t, F.lit("</answer>")))
-        .when(i == 2, F.concat(F.lit(f"{m}<answer>n</answer> <answer>"), t, F.lit("</answer>"))).otherwise(F.lit(f"{m}<think>a</think> stray"))
-    )
-    rows = table(spark, sf_dir, "events").select("event_id", "event_type", text.alias("t"))
-    c, golds = F.col("t"), F.array("event_type")
+    """Search-style responses of a message's words: the order of tags, the answer, and the ladder of scores."""
+    n, w = F.char_length("text") % len(ORDERS), F.col("w")
+    orders = F.coalesce(*[F.when(n == i, F.split(F.lit(o), ",")) for i, o in enumerate(ORDERS)])
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.split("text", " ").alias("w"), orders.alias("o"))
+    blocks = F.transform("o", lambda o, i: F.concat(F.lit("<"), o, F.lit(">"), F.coalesce(F.get(w, i), F.lit("")), F.lit("</"), o, F.lit(">")))
+    early = F.when(F.size(w) % 4 == 0, F.concat(F.lit("<answer>"), F.get(w, 0), F.lit("</answer> "))).otherwise("")
+    mark = F.when(F.size(w) % 9 == 0, "").otherwise("<|im_start|>assistant\n")
+    rows = rows.withColumn("t", F.concat(early, mark, F.array_join(blocks, " "), F.when(F.size(w) % 5 == 0, " tail").otherwise("")))
+    c, golds = F.col("t"), F.array(F.coalesce(F.get(w, 1), F.lit("")))
     rows = rows.withColumns({"valid": A.tag_order_valid(c), "answer": A.last_answer(c), "hit": A.retrieved(c, golds)})
     score = W.em_reward(F.col("valid"), F.col("answer"), golds, F.col("hit"))
-    return rows.select("event_id", "valid", "answer", r6(score).alias("score"))
+    return rows.select("conv_id", "turn", "valid", "answer", r6(score).alias("score"))
 
 
 @query("""

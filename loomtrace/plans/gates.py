@@ -225,7 +225,7 @@ def q_tool_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH n AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'mcp__tools__' || event_type WHEN 1 THEN event_type WHEN 2 THEN 'mcp__a__b__' || event_type ELSE 'x__' || event_type END AS name FROM events)
 SELECT event_id, CASE WHEN starts_with(name, 'mcp__tools__') THEN substr(name, 13) END AS bare, regexp_replace(name, '^mcp__.*__', '') AS without_server, string_split(name, '__')[-1] AS last_segment, regexp_replace(name, '^(?:mcp__[a-z]+__)', '') AS without_prefix,
-  'call::' || substr(sha256(name || '::' || event_id), 1, 20) AS key, sha256(props::JSON::VARCHAR) <> '' AS hashed FROM n JOIN events USING (event_id)
+  'call::' || substr(sha256(name || '::' || event_id), 1, 20) AS key, sha256(json(props)::VARCHAR) AS hashed FROM n JOIN events USING (event_id)
 """)
 def q_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     i, t = F.col("event_id"), F.col("event_type")
@@ -233,7 +233,7 @@ def q_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("name")
     return table(spark, sf_dir, "events").withColumn("name", name).select(
         "event_id", N.bare_name(n, "mcp__tools__").alias("bare"), N.without_server(n).alias("without_server"), N.last_segment(n).alias("last_segment"), N.without_prefix(n, "mcp__[a-z]+__").alias("without_prefix"),
-        N.surrogate_key("call", n, i.cast("string")).alias("key"), (N.content_hash(F.col("props")) != "").alias("hashed"),
+        N.surrogate_key("call", n, i.cast("string")).alias("key"), N.content_hash(F.col("props")).alias("hashed"),
     )
 
 

@@ -34,11 +34,11 @@ def q_limit_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH d AS (SELECT doc_id, n_chars FROM documents WHERE n_chars <= 4000)
+WITH d AS (SELECT doc_id, n_chars FROM documents)
 SELECT doc_id, false AS padding FROM d UNION ALL (SELECT doc_id, true FROM (SELECT *, row_number() OVER (ORDER BY n_chars, doc_id) AS r FROM d) WHERE r <= (64 - (SELECT count(*) FROM d) % 64) % 64)
 """)
 def q_batch_align_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").where("n_chars <= 4000").select("doc_id", "n_chars")
+    d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     return T.pad_to_multiple(d, ["n_chars", "doc_id"], 64).select("doc_id", "padding")
 
 
@@ -54,11 +54,13 @@ def q_quota_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH s AS (SELECT l_partkey AS k, min(l_extendedprice) AS best FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 45 GROUP BY 1)
+WITH s AS (SELECT l_partkey AS k, min(CASE WHEN l_returnflag = 'R' AND l_quantity > 45 THEN l_extendedprice END) AS best FROM lineitem GROUP BY 1)
 SELECT p_partkey, row_number() OVER (ORDER BY best ASC NULLS LAST, p_partkey) AS new_place, round(best, 2) AS best_score FROM part LEFT JOIN s ON k = p_partkey
 """)
 def q_rank_unscored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R' AND l_quantity > 45").select(F.col("l_partkey").alias("p_partkey"), "l_extendedprice")
+    """Parts by the least price of their large returned lines; the score of every other line is null."""
+    score = F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45), F.col("l_extendedprice"))
+    scores = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), score.alias("l_extendedprice"))
     rows = T.rank_with_unscored(table(spark, sf_dir, "part").select("p_partkey"), scores, "p_partkey", "l_extendedprice", "p_partkey")
     return rows.select("p_partkey", F.col("new_place").cast("long").alias("new_place"), F.round("best_score", 2).alias("best_score"))
 

@@ -214,16 +214,14 @@ def q_jaccard_block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-WITH s AS (SELECT user_id, user_id % 2 AS side, list_sort(list_distinct(list(event_type))) AS t FROM events WHERE value > 40 GROUP BY user_id),
+WITH {CHAINS}, s AS (SELECT user_id, user_id % 2 AS side, list_sort(list_distinct(list_transform(range(1, len(chain)), lambda i: chain[i] || '>' || chain[i + 1]))) AS t FROM chains WHERE len(chain) > 1),
 p AS (SELECT a.user_id AS u, max(len(list_intersect(a.t, b.t)) / len(list_distinct(a.t || b.t))) AS best, bool_or(a.t = b.t) AS same FROM s a JOIN (SELECT DISTINCT t FROM s WHERE side = 1) b ON true WHERE a.side = 0 GROUP BY a.user_id)
 SELECT count(*) AS n, round(avg(best), 6) AS mean_best, round(avg(CASE WHEN same THEN 1.0 ELSE 0.0 END), 6) AS exact_rate FROM p
 """)
 def q_group_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest neighbours of one group in another, over distinct sets: there are at most 2^types of them."""
-    e = table(spark, sf_dir, "events").where("value > 40")
-    s = e.groupBy("user_id", (F.col("user_id") % 2).alias("side")).agg(F.array_sort(F.collect_set("event_type")).alias("t"))
-    left = s.where("side = 0").groupBy("t").agg(F.count("*").alias("n"))
-    right = s.where("side = 1").select(F.col("t").alias("t2")).distinct()
-    near = left.join(F.broadcast(right)).groupBy("t", "n").agg(F.max(1 - sets.jaccard_distance(F.col("t"), F.col("t2"))).alias("best"), F.bool_or(F.col("t") == F.col("t2")).alias("same"))
+    """Nearest neighbours of one group's users in another's by their sets of transitions."""
+    steps = F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"])))
+    s = chains(spark, sf_dir).select((F.col("user_id") % 2).alias("side"), steps.alias("t")).where(F.size("t") > 0)
+    near = A.nearest_sets(s.where("side = 0"), s.where("side = 1"), "t")
     total = F.sum("n")
     return near.agg(total.cast("long").alias("n"), r6(F.sum(F.col("n") * F.col("best")) / total).alias("mean_best"), r6(F.sum(F.when(F.col("same"), F.col("n")).otherwise(0)) / total).alias("exact_rate"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtrace.functions import registry as X
+from loomtrace.functions.lineage import shared_folder
 from loomtrace.functions import sets
 from loomtrace.functions import text as C
 from loomtrace.operators import gates as G
@@ -41,40 +42,52 @@ def q_answer_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("item_id", "normal_sha256", r6(F.col("f.f1")).alias("f1"), r6(F.col("f.precision")).alias("precision"), "exact")
 
 
-@query("""
-WITH p AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN 'so <answer> ' || event_type || ' </answer>' WHEN 1 THEN '<Solution>' || event_type || chr(10) || 'x</Solution> tail' WHEN 2 THEN 'none' WHEN 3 THEN '<answer></answer><solution>s</solution>' ELSE 'the answer is (C) or B' END AS t FROM events)
-SELECT event_id, coalesce(nullif(trim(regexp_extract(t, '(?is)<answer>(.*?)</answer>', 1)), ''), nullif(trim(regexp_extract(t, '(?is)<solution>(.*?)</solution>', 1)), '')) AS answer,
-  CASE WHEN event_id % 5 = 4 THEN 'C' END AS letter FROM p
+@query(r"""
+WITH w AS (SELECT conv_id, turn, text, string_split(text, ' ') AS w FROM conversations),
+t AS (SELECT conv_id, turn, CASE length(text) % 4 WHEN 0 THEN text WHEN 1 THEN text || ' the answer is (' || upper(substr(text, 1, 1)) || ')' WHEN 2 THEN '<answer> ' || w[1] || ' </answer>' || text ELSE '<answer> </answer><Solution>' || coalesce(w[2], '') || chr(10) || '</Solution> \boxed{' || upper(substr(text, 1, 1)) || '}' END AS t FROM w)
+SELECT conv_id, turn, coalesce(nullif(trim(regexp_extract(t, '(?is)<answer>(.*?)</answer>', 1)), ''), nullif(trim(regexp_extract(t, '(?is)<solution>(.*?)</solution>', 1)), '')) AS answer,
+  upper(coalesce(nullif(regexp_extract(t, '(?i)answer\s*(?:is|:)\s*\(?([A-J])\b', 1), ''), nullif(regexp_extract(t, '\\boxed\{\s*\(?([A-J])\)?\s*\}', 1), ''), list_filter(string_split_regex(t, '[^\pL\pN_]+'), lambda x: regexp_full_match(x, '[A-J]'))[-1])) AS letter FROM t
 """)
 def q_answer_block(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, t = F.col("event_id"), F.col("event_type")
+    """Messages as they are, and with an answer phrase, block or box of their words."""
+    t, n, w = F.col("text"), F.char_length("text") % 4, F.split("text", " ")
+    first = F.upper(F.substring(t, 1, 1))
     text = (
-        F.when(i % 5 == 0, F.concat(F.lit("so <answer> "), t, F.lit(" </answer>"))).when(i % 5 == 1, F.concat(F.lit("<Solution>"), t, F.lit("\nx</Solution> tail")))
-        .when(i % 5 == 2, "none").when(i % 5 == 3, "<answer></answer><solution>s</solution>").otherwise("the answer is (C) or B")
+        F.when(n == 0, t).when(n == 1, F.concat(t, F.lit(" the answer is ("), first, F.lit(")"))).when(n == 2, F.concat(F.lit("<answer> "), F.get(w, 0), F.lit(" </answer>"), t))
+        .otherwise(F.concat(F.lit("<answer> </answer><Solution>"), F.coalesce(F.get(w, 1), F.lit("")), F.lit("\n</Solution> \\boxed{"), first, F.lit("}")))
     )
-    return table(spark, sf_dir, "events").withColumn("t", text).select("event_id", C.answer_block(F.col("t")).alias("answer"), C.final_letter(F.col("t")).alias("letter"))
+    return table(spark, sf_dir, "conversations").withColumn("t", text).select("conv_id", "turn", C.answer_block(F.col("t")).alias("answer"), C.final_letter(F.col("t")).alias("letter"))
 
 
-@query("""
-WITH p AS (SELECT event_id, event_type AS t FROM events)
-SELECT event_id, CASE event_id % 3 WHEN 0 THEN t || '|b' WHEN 1 THEN t || '|two' ELSE t END AS items FROM p
+@query(r"""
+WITH v AS (SELECT conv_id, turn, length(text) % 3 AS k, string_split(text, ' ')[1:4] AS w, text FROM conversations),
+i AS (SELECT conv_id, turn, CASE k WHEN 0 THEN w WHEN 1 THEN string_split('- ' || replace(text, chr(10), chr(10) || '2. '), chr(10)) ELSE string_split(text, chr(10)) END AS i FROM v),
+c AS (SELECT conv_id, turn, list_filter(list_transform(list_filter(list_transform(i, lambda x: trim(x)), lambda x: x <> ''), lambda x: trim(regexp_replace(x, '^\s*(?:[-*•]|\d+[.)])\s+', ''))), lambda x: x <> '') AS c FROM i)
+SELECT conv_id, turn, len(c) AS n, sha256(array_to_string(c, '|')) AS items FROM c
 """)
 def q_json_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i, t = F.col("event_id"), F.col("event_type")
-    value = F.when(i % 3 == 0, F.concat(F.lit('["'), t, F.lit('", " ", "b "]'))).when(i % 3 == 1, F.concat(F.lit("- "), t, F.lit("\n2. two\n\n"))).otherwise(F.concat(F.lit("\n* "), t))
-    return table(spark, sf_dir, "events").select("event_id", F.array_join(C.lines_or_json(value), "|").alias("items"))
-
-
-@query("""
-WITH p AS (SELECT page_id, 'see <artifact:files/a' || page_id || '> and <artifact:tables/b> and <artifact:files/a' || page_id || '> at /data/run/' || page_id || '/out.csv end' AS t FROM pages)
-SELECT page_id, '<artifact:files/a' || page_id || '>,<artifact:tables/b>' AS refs, regexp_replace(t, ' /data/run/[0-9]+/out.csv', ' <artifact:files/out.csv>') AS clean, replace(t, '<artifact:files/a' || page_id || '>', '[unavailable server path]') AS known_only FROM p
+    """A message's first words as a JSON list, its lines with bullets, its lines as they are."""
+    t, n = F.col("text"), F.char_length("text") % 3
+    value = F.when(n == 0, F.to_json(F.slice(F.split(t, " "), 1, 4))).when(n == 1, F.concat(F.lit("- "), F.replace(t, F.lit("\n"), F.lit("\n2. ")))).otherwise(t)
+    items = C.lines_or_json(value)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.size(items).cast("long").alias("n"), F.sha2(F.array_join(items, "|"), 256).alias("items"))
+
+
+@query(r"""
+WITH w AS (SELECT conv_id, turn, text, string_split(text, ' ') AS w FROM conversations),
+t AS (SELECT conv_id, turn, '<artifact:tables/' || coalesce(w[2], '') || '>' AS known, 'see <artifact:files/' || w[1] || '> and <artifact:tables/' || coalesce(w[2], '') || '> and <artifact:files/' || w[1] || '> at /data/' || coalesce(w[3], '') || '/x' || turn || '.csv ' || text AS t FROM w),
+r AS (SELECT *, list_filter(range(1, len(m) + 1), lambda i: list_position(m, m[i]) = i) AS firsts FROM (SELECT *, regexp_extract_all(t, '<artifact:[^<>\s]+>') AS m FROM t)),
+u AS (SELECT *, list_transform(firsts, lambda i: m[i]) AS refs FROM r)
+SELECT conv_id, turn, array_to_string(refs, ',') AS refs, sha256(regexp_replace(t, '(^|[^\w:/<])/(?:[\w.@-]+/)+([\w.@-]+)', '\1<artifact:files/\2>', 'g')) AS clean, sha256(list_reduce(list_concat([t], list_filter(refs, lambda x: x <> known)), lambda a, x: replace(a, x, '[unavailable server path]'))) AS known_only FROM u
 """)
 def q_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("page_id").cast("string")
-    ref = F.concat(F.lit("<artifact:files/a"), i, F.lit(">"))
-    text = F.concat(F.lit("see "), ref, F.lit(" and <artifact:tables/b> and "), ref, F.lit(" at /data/run/"), i, F.lit("/out.csv end"))
-    rows = table(spark, sf_dir, "pages").select("page_id", text.alias("t"))
-    return rows.select("page_id", joined(C.artifact_tokens(F.col("t"))).alias("refs"), C.sanitised(F.col("t")).alias("clean"), C.without_unknown(F.col("t"), F.array(F.lit("<artifact:tables/b>"))).alias("known_only"))
+    """References and paths of a message's words, before its text."""
+    w = F.split("text", " ")
+    at = lambda i: F.coalesce(F.get(w, i), F.lit(""))
+    ref, known = F.concat(F.lit("<artifact:files/"), at(0), F.lit(">")), F.concat(F.lit("<artifact:tables/"), at(1), F.lit(">"))
+    text = F.concat(F.lit("see "), ref, F.lit(" and "), known, F.lit(" and "), ref, F.lit(" at /data/"), at(2), F.lit("/x"), F.col("turn").cast("string"), F.lit(".csv "), F.col("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", text.alias("t"), known.alias("known"))
+    return rows.select("conv_id", "turn", joined(C.artifact_tokens(F.col("t"))).alias("refs"), F.sha2(C.sanitised(F.col("t")), 256).alias("clean"), F.sha2(C.without_unknown(F.col("t"), F.array("known")), 256).alias("known_only"))
 
 
 @query("""
@@ -198,17 +211,18 @@ def q_schema_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.schema_slots(tools, "schema")
 
 
-@query()
+@query("""
+WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS r FROM events), g AS (SELECT user_id, r // 20 AS g, count(*) AS n, stddev_samp(value) AS s FROM r GROUP BY ALL)
+SELECT user_id, count(*) AS groups, count(*) FILTER (WHERE s > 1e-6) AS kept FROM g WHERE n = 20 GROUP BY user_id
+""")
 def q_stream_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream: groups of 20 samples a user, emitted when complete."""
-    import tempfile
     import uuid
 
     e = table(spark, sf_dir, "events")
     stream = spark.readStream.schema(e.schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir) if not sf_dir.endswith(".parquet") else None
-    out = groups.complete_groups(stream.select("user_id", "value"), "user_id", "value", 20, groups.spread)
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomtrace-stream-")
-    run = f"{folder}/stream-{uuid.uuid4().hex}"
+    out = groups.complete_groups(stream.select("user_id", "event_id", "value"), "user_id", "value", 20, groups.spread, order="event_id")
+    run = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     q = out.writeStream.format("parquet").option("path", f"{run}/out").option("checkpointLocation", f"{run}/state").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     done = spark.read.schema("user_id long, n int, mean_reward double, kept boolean").parquet(f"{run}/out")

@@ -51,10 +51,10 @@ def read_jsonl_objects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_jsonl_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of a schema; a missing file is an empty table."""
+    """Rows of a schema; a missing file is an empty table, a malformed row an error when it is read."""
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def split_slice(path: str) -> tuple[str, int | None, int | None]:

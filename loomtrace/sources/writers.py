@@ -20,15 +20,25 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "error") -> int:
 
 
 def publish(df: DataFrame, path: str, form: str = "json") -> None:
-    """Replaces ``path`` as a whole: written beside it and renamed, so that readers see the old or the new."""
+    """Replaces ``path`` as a whole: written beside it, the old one renamed aside, the new one into its
+    place, and only then the old one deleted. At no time are both lost: a run that ends between the
+    renames leaves the old rows in ``path``.old, and the next call puts them back before it begins."""
     spark = df.sparkSession
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    staging, target = fs_path(f"{path}.staging"), fs_path(path)
+    staging, target, old = fs_path(f"{path}.staging"), fs_path(path), fs_path(f"{path}.old")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(old):
+        if fs.exists(target):
+            fs.delete(old, True)
+        elif not fs.rename(old, target):
+            raise OSError(f"cannot restore {path}")
     df.write.mode("overwrite").format(form).save(f"{path}.staging")
-    fs.delete(target, True)
+    if fs.exists(target) and not fs.rename(target, old):
+        raise OSError(f"cannot set {path} aside")
     if not fs.rename(staging, target):
+        fs.rename(old, target)
         raise OSError(f"cannot publish {path}")
+    fs.delete(old, True)
 
 
 def append_jsonl(df: DataFrame, path: str) -> None:

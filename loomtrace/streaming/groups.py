@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def complete_groups(samples: DataFrame, key: str, reward: str, group_size: int, keep: Callable[[list[float]], bool] | None = None) -> DataFrame:
+def complete_groups(samples: DataFrame, key: str, reward: str, group_size: int, keep: Callable[[list[float]], bool] | None = None, order: str | None = None) -> DataFrame:
     """A stream of (key, n, mean_reward, kept) for each group as it reaches its size; state is then dropped.
+    Samples of a batch join their group by ``order``, so that a replayed batch makes the same groups.
 
     What is kept of a group is its rewards, so state is bounded by the groups still open."""
     kind = samples.schema[key].dataType.simpleString()
@@ -22,8 +23,8 @@ def complete_groups(samples: DataFrame, key: str, reward: str, group_size: int,
     def update(k: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rewards = list(state.get[0]) if state.exists else []
         out = []
-        for pdf in batches:
-            rewards += [float(x) for x in pdf[reward]]
+        new = pd.concat(list(batches))
+        rewards += [float(x) for x in (new.sort_values(order, kind="stable") if order else new)[reward]]
         while len(rewards) >= group_size:
             group, rewards = rewards[:group_size], rewards[group_size:]
             out.append((k[0], group_size, sum(group) / group_size, bool(keep(group)) if keep else True))
@@ -51,19 +52,23 @@ def remaining(tasks: DataFrame, done: DataFrame, key: str = "fingerprint") -> Da
     return tasks.join(done.select(key).distinct(), key, "left_anti")
 
 
-def checkpoint_tasks(stream: DataFrame, path: str, checkpoint: str, key: str = "fingerprint"):
+def checkpoint_tasks(stream: DataFrame, path: str, checkpoint: str, key: str = "fingerprint", buckets: int = 64):
     """A running query that appends each task's result once: a batch that is replayed after a
-    failure, or a task that comes again, adds nothing."""
+    failure, or a task that comes again, adds nothing.
+
+    Results are in a folder a bucket of the key's hash (``buckets``), and a batch reads those that its
+    keys fall into, only their key column."""
 
     def write(batch: DataFrame, _: int) -> None:
-        rows = batch.dropDuplicates([key])
+        rows = batch.dropDuplicates([key]).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
         spark = batch.sparkSession
-        try:
-            rows = rows.join(spark.read.parquet(path).select(key), key, "left_anti")
-        except Exception as e:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-        rows.write.mode("append").parquet(path)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+            touched = [r["bucket"] for r in rows.select("bucket").distinct().collect()]  # at most ``buckets``
+            schema = f"`{key}` {batch.schema[key].dataType.simpleString()}, bucket long"
+            done = spark.read.schema(schema).parquet(path).where(F.col("bucket").isin(touched)).select(key)
+            rows = rows.join(done, key, "left_anti")
+        rows.write.mode("append").partitionBy("bucket").parquet(path)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).start()
 
