@@ -8,7 +8,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = ("transitions", "sequences", "statistics", "gates", "selection", "texts", "curating", "episodes")
+MODULES = ("transitions", "sequences", "statistics", "gates", "selection", "texts", "curating", "episodes", "releases")
 _FOUND: dict[str, tuple[Query, str | None]] = {}
 
 

@@ -87,3 +87,31 @@ def test_compaction_keys(spark):
     deep = {"a": {"b": {"c": {"d": {"e": 1}}}}}
     assert json.loads(curation._compacted(json.dumps(deep)))["a"]["b"]["c"]["d"]["e"]["type"] == "int"
     assert curation._compacted("no json") is None and curation._compacted(None) is None
+
+
+def test_nested_values(spark):
+    """Parents before children, in lists too; text that isn't JSON has none."""
+    from loomtrace.operators import releases
+
+    df = spark.createDataFrame([('{"k":{"k":1},"a":[{"k":"x"}]}',), ("no",), (None,), ("3",)], "t string")
+    assert [r[0] for r in df.select(releases.nested_values("k")("t")).collect()] == [['{"k": 1}', "1", '"x"'], [], [], []]
+
+
+def test_cursor(spark, tmp_path):
+    from loomtrace.operators import releases
+
+    path = f"{tmp_path}/cursor"
+    assert releases.load_cursor(spark, path) is None
+    for step in (1, 3, 2):
+        releases.save_cursor(spark, path, step * 7, step, step)
+    assert releases.load_cursor(spark, path) == (21, 3) and releases.load_cursor(spark, path, 2) == (14, 2) and releases.load_cursor(spark, path, 0) is None
+
+
+def test_numbered(spark):
+    """Places over many partitions are those of one sort."""
+    from loomtrace.operators.sampling import numbered
+
+    df = spark.range(0, 1000, 1, 7).select(((F.col("id") * 37) % 1009).alias("v"))
+    got = {r.v: r.n for r in numbered(df, [F.col("v").desc()], "n").collect()}
+    assert got == {v: i + 1 for i, v in enumerate(sorted(got, reverse=True))}
+    assert numbered(df.limit(0), ["v"], "n").count() == 0
