@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtrace.functions.lineage import shared_folder
+
 #: Words and line ends are delimited by these six ASCII characters only.
 WHITE = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -42,23 +45,44 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
     return docs.toDF(*new), of, [F.col(c).alias(old) for old, c in zip(docs.columns, new, strict=True)]
 
 
+#: Checkpoint folders made within ``scratch``, if one is open.
+_MADE: list[list[str]] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """The rows, kept in the shared checkpoint folder, so that what follows
-    neither recomputes them nor depends on an executor's own disk.
+    """The rows, kept in the shared checkpoint folder, so that what follows neither
+    recomputes them nor depends on an executor's own disk.
 
-    The folder is the session's ``spark.checkpoint.dir``; a session without one
-    (tests, a single machine) gets a temporary folder.
+    The folder is the session's ``spark.checkpoint.dir``; see ``shared_folder``.
     """
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="loomtrace-checkpoints-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     done = df.checkpoint(eager=True)
     del df
+    if _MADE:
+        folder = done._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        _MADE[-1].extend([folder.get()] if folder.isDefined() else [])
     context._jvm.System.gc()  # Spark removes the shuffle files of what the rows came from only when the driver collects its garbage
     return done
 
 
+@contextmanager
+def scratch() -> Iterator[list[str]]:
+    """The folders of checkpoints made within, for ``forget`` once what needs them is written."""
+    _MADE.append([])
+    try:
+        yield _MADE[-1]
+    finally:
+        _MADE.pop()
+
+
+def forget(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Arrow batches of few rows: documents differ in length by four orders of
     magnitude, so a batch is bounded in rows and, where Spark can, in bytes."""

@@ -86,6 +86,11 @@ def intersect(trie: dict, automaton: LevenshteinAutomaton) -> tuple[int, str] |
     return best
 
 
+def without_one(word: str) -> list[str]:
+    """The word with each of its characters left out."""
+    return [word[:i] + word[i + 1 :] for i in range(len(word))]
+
+
 @dataclass
 class Lexicon:
     """Entries with their weights (0 to 1). Only entries of ``near`` match within one edit."""
@@ -97,10 +102,8 @@ class Lexicon:
 
     def __post_init__(self) -> None:
         self.trie = trie_of(sorted(self.near))
-        # one edit leaves the first or the second half of an entry whole
-        self.firsts = {w[: len(w) // 2] for w in self.near}
-        self.seconds = {w[len(w) // 2 :] for w in self.near}
-        self.halves = sorted({len(x) for x in self.firsts | self.seconds})
+        # two words within one edit agree once a character of one, the other, or each is left out: few other words get to the trie
+        self.shorter = {x for w in self.near for x in (w, *without_one(w))}
         self.lengths = (min(map(len, self.near), default=1) - 1, max(map(len, self.near), default=0) + 1)
         self.stem_lengths = sorted({len(s) for s in self.stems})
 
@@ -118,7 +121,7 @@ class Lexicon:
                 return word, self.words[word]
         if not self.lengths[0] <= len(word) <= self.lengths[1] or word in self.benign:
             return None
-        if any(word[:n] in self.firsts or word[-n:] in self.seconds for n in self.halves):
+        if word in self.shorter or not self.shorter.isdisjoint(without_one(word)):
             found = intersect(self.trie, LevenshteinAutomaton(word, 1))
             return (found[1], 0.7 * self.words[found[1]]) if found else None
         return None
@@ -225,7 +228,9 @@ def learn_lexicon(sample: DataFrame, least_rows: int = 3, least_contexts: int =
     sizes = {r["_lt_toxic"]: r["count"] for r in sample.groupBy("_lt_toxic").count().collect()}
     terms = toxic.mapInArrow(_terms, "term string, word string, row long, near long")
     terms = terms.groupBy("term").agg(F.count_distinct("row").alias("rows"), F.count_distinct("near").alias("contexts"), F.count_distinct("word").alias("words"))
-    terms = terms.where((F.col("rows") >= least_rows) & (F.col("contexts") >= least_contexts))
+    # without any clean row that uses it a term's lift is at most this; others can't reach the least one
+    reach = (F.col("rows") + 0.5) / (sizes.get(1, 0) + 1) * (sizes.get(0, 0) + 1) / 0.5
+    terms = terms.where((F.col("rows") >= least_rows) & (F.col("contexts") >= least_contexts) & (reach >= least_lift))
     found = {r["term"]: r for r in terms.collect()}
     used = clean.mapInArrow(_uses(set(found)), "term string").groupBy("term").count()
     uses = {r["term"]: r["count"] for r in used.collect()}
