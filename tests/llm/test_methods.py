@@ -243,28 +243,30 @@ def test_components_in_blocks(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
-def test_candidates_by_fingerprint(spark, sf_dir):
-    """Of the pairs that share 0.8 of their shingles, word fingerprints alone connect nine of ten and more."""
-    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet")
-    rows = nearcopies.prefixes(docs).checkpoint()
-    sets = rows.where("n > 0").groupBy("sid").agg(F.min(F.struct("_lt_doc", "_lt_key", "n", "fps", "sketch")).alias("s")).select("sid", "s.*").checkpoint()
-    texts = {r.text for r in docs.collect()}
-    own = {}
-    for t in texts:
-        s = frozenset(nearcopies.shingles(t or "").tolist())
-        if s:
-            own[s] = nearcopies.xxhash.xxh64_intdigest(nearcopies.shingles(t).tobytes(), 42)
-    by = defaultdict(list)
-    for s in own:
-        for h in s:
-            by[h].append(s)
-    pairs = {frozenset((own[a], own[b])) for m in by.values() if len(m) < 200 for i, a in enumerate(m) for b in m[:i] if 9 * len(a & b) >= 4 * (len(a) + len(b))}
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    near = {frozenset(map(signed, p)) for p in pairs}
+def test_candidates_by_fingerprint(spark):
+    """Most pairs that share 0.8 of their shingles are connected by word fingerprints alone; all are in the end."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(4000)]
+    rows = []
+    for _ in range(80):
+        base = rng.choices(vocabulary, k=rng.randint(80, 400))
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rng.randint(0, len(base) // 50)):
+                copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    made = nearcopies.prefixes(docs).checkpoint()
+    sets = made.groupBy("sid").agg(F.min(F.struct("_lt_doc", "_lt_key", "n", "fps", "sketch")).alias("s")).select("sid", "s.*").checkpoint()
+    sid = {r["_lt_doc"]: r.sid for r in made.select("_lt_doc", "sid").collect()}
+    own = [set(nearcopies.shingles(t).tolist()) for _, t in rows]
+    near = [(a, b) for a in range(len(rows)) for b in range(a - a % 4, a) if sid[a] != sid[b] and 9 * len(own[a] & own[b]) >= 4 * (len(own[a]) + len(own[b]))]
     found = nearcopies._plausible(nearcopies._by_fingerprint(sets), sets)
     root = {r.node: r.root for r in components.components(found).collect()}
-    hit = sum(len({root.get(x, x) for x in p}) == 1 for p in near)
-    assert len(near) > 20 and hit >= 0.9 * len(near)
+    hit = sum(root.get(sid[a], sid[a]) == root.get(sid[b], sid[b]) for a, b in near)
+    assert len(near) > 200 and hit >= 0.9 * len(near), (hit, len(near))
+    group = {r["_lt_doc"]: r.root for r in nearcopies.near_copies(docs).select("_lt_doc", "root").collect()}
+    assert all(group[a] == group[b] for a, b in near)
 
 
 def test_sketch_bound():
