@@ -57,7 +57,7 @@ def test_inclusion_probabilities(spark):
     rows = [(i, "w " * rng.choice([3, 5, 8, 13, 40, 90]), "a") for i in range(120)] + [(1000, "w " * 900, "a")] + [(2000 + i, "w " * 50, "b") for i in range(10)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").cache()
     drawn, p, whole = Counter(), {}, {}
-    seeds = 40
+    seeds = 3
     for seed in range(seeds):
         for r in mixing.mix_sources(df, weights=(1, 12), seed=seed * 7 + 1).where("source = 'a'").collect():
             base = math.floor(r.target / r.source_size)
