@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, suppress
 
+import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,10 +67,16 @@ def cut(df: DataFrame) -> DataFrame:
     if _MADE:
         folder = done._jdf.queryExecution().logical().rdd().getCheckpointFile()
         _MADE[-1].extend([folder.get()] if folder.isDefined() else [])
-    context._jvm.System.gc()  # Spark removes the shuffle files of what the rows came from only when the driver collects its garbage
+    freed()
     return done
 
 
+def freed() -> None:
+    """Spark removes shuffle files and checkpoints of frames that nothing refers to only when the driver collects its garbage."""
+    gc.collect()
+    SparkContext._active_spark_context._jvm.System.gc()
+
+
 @contextmanager
 def scratch() -> Iterator[list[str]]:
     """The folders of checkpoints made within, for ``forget`` once what needs them is written."""
@@ -83,6 +93,25 @@ def forget(spark: SparkSession, folders: list[str]) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, for mapInArrow, followed by ``trim``."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
+def trim() -> None:
+    """Gives memory that is no longer used back to the system. A worker goes on to other tasks, and idle
+    ones stay for a minute beside those of the next stage."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # GNU's C library only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def small_batches(spark: SparkSession, rows: int = 512) -> None:
     """Arrow batches of few rows: documents differ in length by four orders of
     magnitude, so a batch is bounded in rows and, where Spark can, in bytes."""

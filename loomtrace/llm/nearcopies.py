@@ -29,9 +29,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import cut, id_of, numbered, small_batches, text_of
+from loomtrace.llm.common import cut, freed, id_of, lean, numbered, small_batches, text_of
 from loomtrace.llm.components import components
 from loomtrace.llm.keyfilter import key_filter, passes
+from loomtrace.llm.packed import pack, unpack
 from loomtrace.llm.simhash import dealt, segment_index, word_fingerprints
 from loomtrace.llm.substrings import window_hashes
 
@@ -78,7 +79,7 @@ def _known(texts: DataFrame, words: int, sample_rows: int) -> tuple[np.ndarray,
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.uint64), *(shingles(t, words) for t in batch.column(0).to_pylist())]).view(np.int64))], names=["h"])
 
-    found = texts.where(F.pmod(F.xxhash64(F.lit(7), "_lt_key"), F.lit(share)) == 0).select("_lt_text").mapInArrow(run, "h long")
+    found = texts.where(F.pmod(F.xxhash64(F.lit(7), "_lt_key"), F.lit(share)) == 0).select("_lt_text").mapInArrow(lean(run), "h long")
     # an order only, so those that are left out cost candidates and lose none
     rows = found.groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(1 << 18).toArrow()
     known, counts = rows["h"].to_numpy().astype(np.int64).view(np.uint64), rows["count"].to_numpy().astype(np.int64)
@@ -115,7 +116,67 @@ def prefixes(docs: DataFrame, words: int = 5, text: str = "text", sample_rows: i
             columns = [pa.array(np.array(sids, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), _longs(fps), _longs(sketches), _longs(firsts)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["_lt_doc", "_lt_key", "sid", "n", "fps", "sketch", "prefix"])
 
-    return rows.mapInArrow(run, "_lt_doc long, _lt_key long, sid long, n int, fps array<long>, sketch array<long>, prefix array<long>")
+    return rows.mapInArrow(lean(run), "_lt_doc long, _lt_key long, sid long, n int, fps array<long>, sketch array<long>, prefix array<long>")
+
+
+def _shared(rows: DataFrame, block: int = 1 << 20, bucket: int = 1 << 19) -> DataFrame:
+    """(h, sid, n, i) of sets and the places of their prefixes whose shingle the prefix of another row
+    has too; h is the shingle's upper 48 bits, so that a few more may meet.
+
+    Most shingles are in one prefix only. They move packed, the sorted ones of a block of rows
+    to each bucket, in some six bytes; what is shared becomes rows. ``rows`` must be kept ones."""
+    sizes = F.sum(F.size("prefix").cast("long"))
+    buckets = max(64, 1 << (max(1, (rows.agg(sizes).first()[0] or 0) // bucket)).bit_length())
+    low = np.uint64(16 + buckets.bit_length() - 1)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def packed() -> pa.RecordBatch:
+            h, row, place = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            waiting.clear()
+            home = (h >> np.uint64(16)) & np.uint64(buckets - 1)
+            by = np.lexsort((h, home))
+            h, row, place, home = h[by] >> low, row[by], place[by], home[by]
+            edges = np.flatnonzero(np.diff(home, prepend=np.uint64(buckets)))
+            out = []
+            for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(h)], strict=True):
+                first = int(row[a:b].min())
+                out.append((int(home[a]), pack(np.diff(h[a:b], prepend=np.uint64(0)), np.array([first], np.int64), (row[a:b] - first).astype(np.uint32), place[a:b])))
+            homes, payloads = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(homes, pa.int32()), pa.array(payloads, pa.binary())], names=["bucket", "payload"])
+
+        held = 0
+        for batch in batches:
+            lists = batch.column(1)
+            lens = np.diff(lists.offsets.to_numpy())
+            if not lens.sum():
+                continue
+            places = np.arange(lens.sum()) - np.repeat(np.cumsum(lens) - lens, lens)
+            waiting.append((lists.flatten().to_numpy().view(np.uint64), np.repeat(batch.column(0).to_numpy(), lens), places.astype(np.uint32)))
+            held += int(lens.sum())
+            if held >= block:
+                yield packed()
+                held = 0
+        if waiting:
+            yield packed()
+
+    def meet(table: pa.Table) -> pa.Table:
+        parts = []
+        for p in table.column("payload"):
+            steps, first, row, place = unpack(p.as_py())
+            parts.append((np.cumsum(steps, dtype=np.uint64), first[0] + row.astype(np.int64), place))
+        h, row, place = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by = np.argsort(h, kind="stable")
+        h, row, place = h[by], row[by], place[by]
+        same = h[1:] == h[:-1]
+        met = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+        whole = (h[met] << np.uint64(low - 16)) | np.uint64(table.column("bucket")[0].as_py())
+        return pa.table({"h": pa.array(whole.astype(np.int64)), "row": pa.array(row[met]), "i": pa.array(place[met].astype(np.int32))})
+
+    placed = rows.withColumn("row", F.monotonically_increasing_id())
+    found = placed.select("row", "prefix").mapInArrow(lean(send), "bucket int, payload binary").groupBy("bucket").applyInArrow(meet, "h long, row long, i int")
+    return found.join(placed.select("row", "sid", "n"), "row").select("h", "sid", "n", "i").distinct()
 
 
 def _may_be_near(u: str, v: str) -> Column:
@@ -142,13 +203,12 @@ def _of_candidates(texts: DataFrame, keys: DataFrame) -> DataFrame:
             packed = pa.array([pack(t.encode()) for t in some.column(2).to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), packed], names=["_lt_doc", "_lt_key", "z"])
 
-    return texts.mapInArrow(run, "_lt_doc long, _lt_key long, z binary")
+    return texts.mapInArrow(lean(run), "_lt_doc long, _lt_key long, z binary")
 
 
 def _verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, words: int) -> DataFrame:
-    """Those of the distinct (u, v) that are near. ``one`` has the row (sid, _lt_doc, _lt_key) of a set, ``texts`` all rows.
+    """Those of the distinct, kept (u, v) that are near. ``one`` has the row (sid, _lt_doc, _lt_key) of a set, ``texts`` all rows.
     Compressed texts move, a third of the bytes of their sets; two meet in a task at a time."""
-    pairs = cut(pairs)
     ids = pairs.select(F.col("u").alias("sid")).unionByName(pairs.select(F.col("v").alias("sid"))).distinct()
     wanted = cut(one.select("sid", "_lt_doc", "_lt_key").join(ids, "sid", "left_semi"))
     own = cut(_of_candidates(texts, wanted).join(wanted, ["_lt_doc", "_lt_key"]).groupBy("_lt_doc", "_lt_key").agg(F.min("sid").alias("sid"), F.min("z").alias("z")).select("sid", "z"))
@@ -164,7 +224,7 @@ def _verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, words: int) ->
             yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
 
     both = pairs.join(own.toDF("u", "x"), "u").join(own.toDF("v", "y"), "v").select("u", "v", "x", "y")
-    return both.mapInArrow(run, "u long, v long")
+    return both.mapInArrow(lean(run), "u long, v long")
 
 
 def _by_fingerprint(sets: DataFrame) -> DataFrame:
@@ -180,19 +240,21 @@ def _by_fingerprint(sets: DataFrame) -> DataFrame:
 def links(rows: DataFrame, texts: DataFrame, words: int = 5, most_pairs: int = 4096) -> DataFrame:
     """(u, v) of sets, all near and so that every near pair of the ``rows`` of ``prefixes`` is
     connected. ``texts`` has (_lt_doc, _lt_key, _lt_text)."""
-    one = rows.groupBy("sid").agg(F.min(F.struct("_lt_doc", "_lt_key", "n", "prefix")).alias("s"))
-    index = one.select("sid", "s.n", F.posexplode("s.prefix").alias("i", "h"))
+    index = cut(_shared(rows))
     met = cut(index.join(index.groupBy("h").agg(F.count("*").alias("c")).where("c > 1"), "h"))
-    del one, index
+    del index
     sets = cut(rows.groupBy("sid").agg(F.min(F.struct("_lt_doc", "_lt_key", "n", "fps", "sketch")).alias("s")).select("sid", "s.*"))
     del rows
+    freed()
     few, many = (met.where(x).select("h", "sid", "n", "i") for x in (F.col("c") * F.col("c") <= most_pairs, F.col("c") * F.col("c") > most_pairs))
     pairs = few.alias("u").join(few.alias("v"), (F.col("u.h") == F.col("v.h")) & (F.col("u.sid") < F.col("v.sid")) & _may_be_near("u", "v"))
     pairs = pairs.select(F.col("u.sid").alias("u"), F.col("v.sid").alias("v"))
     hubs = many.groupBy("h").agg(F.min(F.struct("sid", "n", "i")).alias("hub"))
     stars = many.join(hubs, "h").select("hub", F.struct("sid", "n", "i").alias("v")).where((F.col("hub.sid") < F.col("v.sid")) & _may_be_near("hub", "v")).select(F.col("hub.sid").alias("u"), F.col("v.sid").alias("v"))
-    tried = _plausible(_by_fingerprint(sets).unionByName(pairs).unionByName(stars).distinct(), sets)
+    tried = cut(_plausible(_by_fingerprint(sets).unionByName(pairs).unionByName(stars).distinct(), sets))
+    del few, pairs, hubs, stars
     found = cut(_verified(tried, sets, texts, words))
+    del tried
     if many.isEmpty():
         return found
     roots = components(found).toDF("sid", "root")
@@ -202,7 +264,8 @@ def links(rows: DataFrame, texts: DataFrame, words: int = 5, most_pairs: int = 4
     apart = parted.join(split, "h", "left_semi")
     near = _may_be_near("u", "v") & (_differ("u", "v") * (OF + NEAR) <= (F.col("u.n") + F.col("v.n")) * (OF - NEAR))
     apart = apart.alias("u").join(apart.alias("v"), (F.col("u.h") == F.col("v.h")) & (F.col("u.sid") < F.col("v.sid")) & (F.col("u.root") != F.col("v.root")) & near)
-    apart = apart.select(F.col("u.sid").alias("u"), F.col("v.sid").alias("v")).distinct()
+    apart = cut(apart.select(F.col("u.sid").alias("u"), F.col("v.sid").alias("v")).distinct())
+    del parted, split
     return cut(found.unionByName(_verified(apart, sets, texts, words)))
 
 

@@ -89,3 +89,22 @@ def test_stage_ids(spark):
     out = corpus_pipeline.drop_copies(spark, docs, "")
     assert ids(out) == [none, none, none, 1, 5, 5]
     assert {r.text for r in out.collect()} == {say(k) for k in range(5)} | {""}
+
+
+def test_shared_places(spark):
+    """What two prefixes have in common is found without a row a shingle: sorted parts move packed."""
+    rows = near_rows()
+    made = nearcopies.prefixes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("n > 0").checkpoint()
+    sets = {(r.sid, r.n, tuple(r.prefix)) for r in made.collect()}
+    where = {}
+    for sid, n, prefix in sets:
+        for i, h in enumerate(prefix):
+            where.setdefault(h & (1 << 64) - 1, set()).add((sid, n, i))
+    want = {(h >> 16, *x) for h, found in where.items() if len(found) > 1 for x in found}
+    alone = {(h >> 16, *x) for h, found in where.items() if len(found) == 1 for x in found}
+    for block in (50, 1 << 20):
+        out = nearcopies._shared(made, block=block, bucket=100)
+        got = {(r.h, r.sid, r.n, r.i) for r in out.collect()}
+        # copies of one set count as several rows here, and as one set later
+        assert want <= got <= want | alone
+    assert "explode" not in out._jdf.queryExecution().toString()
