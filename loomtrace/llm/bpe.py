@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import small_batches
+from loomtrace.llm.common import lean, small_batches
 from loomtrace.llm.wordshuffle import apply_to_words
 
 
@@ -66,7 +66,7 @@ def decode(encoded: DataFrame, rank_path: str, ids: str = "ids") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, pa.binary())], names=[*batch.schema.names, "decoded"])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in encoded.dtypes)
-    return encoded.mapInArrow(run, f"{fields}, decoded binary")
+    return encoded.mapInArrow(lean(run), f"{fields}, decoded binary")
 
 
 def _numbers(x: pa.Scalar) -> list[int] | None:

@@ -17,7 +17,8 @@ def pack(*arrays: np.ndarray) -> bytes:
         a = np.ascontiguousarray(a)
         parts.append(len(a).to_bytes(8, "little") + a.dtype.str.encode().ljust(4))
         parts.append(a.view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() if len(a) else b"")
-    return zstandard.ZstdCompressor(level=3).compress(b"".join(parts))
+    to = zstandard.ZstdCompressor(level=3).compressobj(size=sum(map(len, parts)))  # without a copy of all of them
+    return b"".join([*map(to.compress, parts), to.flush()])
 
 
 def unpack(data: bytes) -> list[np.ndarray]:

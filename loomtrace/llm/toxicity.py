@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import cut, numbered, small_batches, text_of
+from loomtrace.llm.common import cut, lean, numbered, small_batches, text_of
 
 # Characters stripped from a word's ends, and the words and marks that context windows look for.
 EDGE = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’‚…–—¡¿"
@@ -226,7 +226,7 @@ def learn_lexicon(sample: DataFrame, least_rows: int = 3, least_contexts: int =
     toxic rows use in ``least_contexts`` contexts, and words near an entry."""
     toxic, clean = sample.where("_lt_toxic = 1").select("_lt_text"), sample.where("_lt_toxic = 0").select("_lt_text")
     sizes = {r["_lt_toxic"]: r["count"] for r in sample.groupBy("_lt_toxic").count().collect()}
-    terms = toxic.mapInArrow(_terms, "term string, word string, row long, near long")
+    terms = toxic.mapInArrow(lean(_terms), "term string, word string, row long, near long")
     terms = terms.groupBy("term").agg(F.count_distinct("row").alias("rows"), F.count_distinct("near").alias("contexts"), F.count_distinct("word").alias("words"))
     # without any clean row that uses it a term's lift is at most this; others can't reach the least one
     reach = (F.col("rows") + 0.5) / (sizes.get(1, 0) + 1) * (sizes.get(0, 0) + 1) / 0.5
@@ -308,5 +308,5 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([own.score(f) for f in found], pa.float64()), pa.array(fields, pa.list_(MATCH))], names=names)
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.dtypes)
-    out = docs.mapInArrow(run, f"{fields}, _lt_score double, _lt_matches array<struct<position:int,word:string,entry:string,weight:double,quoted:boolean>>")
+    out = docs.mapInArrow(lean(run), f"{fields}, _lt_score double, _lt_matches array<struct<position:int,word:string,entry:string,weight:double,quoted:boolean>>")
     return out.select(*back, "_lt_score", "_lt_matches")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtrace.llm.common import id_of, small_batches, text_of
+from loomtrace.llm.common import id_of, lean, small_batches, text_of
 from loomtrace.llm.packed import gather, pack, pack_strings, unpack, unpack_strings
 
 BLOCK, WORDS, ANSWERS = 0, 1, 2
@@ -36,6 +36,10 @@ ROW = "kind int, bucket int, block long, part int, payload binary"
 ARROW_ROW = pa.schema([("kind", pa.int32()), ("bucket", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("payload", pa.binary())])
 
 
+#: Positions of a block that are worked on at a time.
+STEP = 1 << 20
+
+
 def buckets_for(docs: DataFrame, text: str = "text", chars: int = 1 << 23, least: int = 256) -> int:
     """A power of two, so that a bucket gets the words of about ``chars`` characters."""
     total = docs.select(F.sum(F.octet_length(text_of(docs, text)))).first()[0] or 0
@@ -87,18 +91,30 @@ def code_words(texts: list[str], split: Callable[[str], list]) -> tuple[list, np
     return list(index), np.frombuffer(codes, np.uint32) if codes else np.zeros(0, np.uint32), np.array(lens, dtype=np.int64)
 
 
+def _counts(codes: np.ndarray, words: int) -> np.ndarray:
+    found = np.zeros(words, np.int64)
+    for at in range(0, len(codes), STEP):
+        found += np.bincount(codes[at : at + STEP], minlength=words)
+    return found
+
+
 def _blocks(split: Callable[[str], list], buckets: int, block_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, texts in blocks_of(batches, block_chars):
             words, codes, lens = code_words(texts, split)
+            texts.clear()  # a block is large beside what else a task holds
             raw = [w if isinstance(w, bytes) else w.encode() for w in words]
-            order = np.argsort(-np.bincount(codes, minlength=len(raw)), kind="stable")  # frequent words get small codes
+            order = np.argsort(-_counts(codes, len(raw)), kind="stable")  # frequent words get small codes
             rank = np.empty(len(raw), np.uint32)
             rank[order] = np.arange(len(raw), dtype=np.uint32)
             raw = [raw[k] for k in order.tolist()]
+            del words
+            for at in range(0, len(codes), STEP):
+                codes[at : at + STEP] = rank[codes[at : at + STEP]]
             bucket = np.fromiter(map(zlib.crc32, raw), np.uint32, len(raw)) % np.uint32(buckets)
             home = xxhash.xxh64_intdigest(str(block)) % buckets
-            out = [(BLOCK, home, block, -1, pack(np.array(ids, np.int64), lens, rank[codes] if len(raw) else codes, bucket))]
+            out = [(BLOCK, home, block, -1, pack(np.array(ids, np.int64), lens, codes, bucket))]
+            del codes
             by = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[by], prepend=-1))
             for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(by)], strict=True) if len(by) else ():
@@ -154,10 +170,17 @@ def _id_array(ids: np.ndarray) -> pa.Array:
 def _lists(table: pa.Table) -> pa.Table:
     ids, lens, codes, n, flat = _joined(table)
     starts = np.cumsum(n) - n
-    values = flat[gather(starts, n, codes)].astype(np.int32)
-    per_word = np.concatenate([[0], np.cumsum(n[codes])])
-    ends = per_word[np.cumsum(lens)]
-    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int64()), pa.array(values)).cast(pa.list_(pa.int32()))
+    edges, ends = np.cumsum(lens), np.zeros(len(lens), np.int64)  # of documents: in positions, in numbers
+    values, made = [np.zeros(0, np.int32)], 0
+    for at in range(0, len(codes), STEP):
+        some = codes[at : at + STEP]
+        values.append(flat[gather(starts, n, some)].astype(np.int32))
+        a, b = np.searchsorted(edges, [at, at + len(some)], side="right")
+        ends[a:b] = made + np.cumsum(n[some])[edges[a:b] - at - 1]
+        made += len(values[-1])
+    flat_values = np.concatenate(values)
+    del values, codes
+    lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int64()), pa.array(flat_values)).cast(pa.list_(pa.int32()))
     return pa.table({"doc_id": _id_array(ids), "n_words": pa.array(lens, pa.int64()), "ids": lists})
 
 
@@ -179,7 +202,7 @@ def apply_to_words(docs: DataFrame, split: Callable[[str], list], work: Callable
     """
     small_batches(docs.sparkSession)
     rows = docs.select(id_of(docs).alias("_lt_doc"), text_of(docs, text).alias("_lt_text"))
-    blocks = rows.mapInArrow(_blocks(split, buckets_for(docs, text), block_chars), ROW)
+    blocks = rows.mapInArrow(lean(_blocks(split, buckets_for(docs, text), block_chars)), ROW)
     answers = blocks.groupBy("bucket").applyInArrow(_answers(work), ROW)
     if sums:
         return answers.groupBy("block").applyInArrow(_sums, "doc_id long, n_words long, total long")

@@ -363,3 +363,32 @@ def test_very_long_text(spark):
     assert all(ids[i] == encoding.encode_ordinary(t) for i, t in rows)
     lined = spark.createDataFrame([(i, long.replace(" ", "\n", 100_000)) for i in range(2)] + [(9, "x")], "doc_id long, text string")
     assert sorted(r["_lt_lines"] for r in lines.dedup_lines(lined).collect()) == [1, 100_001, 100_001]
+
+
+def test_block_memory(monkeypatch):
+    """A block's positions are worked on in parts: joining the answers takes less than 30 bytes a position (44 before)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from loomtrace.llm import wordshuffle as w
+
+    class Task:
+        get = staticmethod(lambda: Task)
+        partitionId = staticmethod(lambda: 0)
+
+    monkeypatch.setattr(w, "TaskContext", Task)
+    n = 3 << 20
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3], pa.int64()), pa.array(["a b c " * (n // 3), "", "c d"])], names=["i", "t"])
+    tracemalloc.start()
+    out = pa.Table.from_batches(list(w._blocks(lambda t: t.split(), 1, 1 << 30)([batch])))
+    out = w._answers(lambda words: [list(x) * 2 for x in words])(out)
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    got = w._lists(out)
+    most = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    ids = got.column("ids").combine_chunks()
+    assert got.column("n_words").to_pylist() == [n, 0, 2] and [len(x) for x in ids] == [2 * n, 0, 4]
+    assert ids[2].as_py() == [99, 99, 100, 100] and ids[0].values[:6].to_pylist() == [97, 97, 98, 98, 99, 99] and ids[0].values[-2:].to_pylist() == [99, 99]
+    assert most < 30 * n, most / n
