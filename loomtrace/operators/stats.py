@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomtrace.functions import sets
+from loomtrace.operators import tiles
 
 LINEAR = (0.25, 0.5, 0.75, 0.9, 0.95)
 RANKED = (0.5, 0.9, 0.95, 0.99)
@@ -143,26 +147,24 @@ def gaps(merged: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
     return merged.select(*keys, F.col(end).alias("gap_start"), F.lead(start).over(w).alias("gap_end")).where("gap_end > gap_start")
 
 
-def set_pairs(rows: DataFrame, block: str, items: str, parts: int = 16) -> DataFrame:
+def set_pairs(rows: DataFrame, block: str, items: str, most_sets: int = 8192) -> DataFrame:
     """(block_a, block_b, pairs, mean_distance, least, equal): Jaccard distances of every unordered
     pair of rows by their blocks, those across blocks included, the smaller block first.
 
-    Distances are computed once for two distinct sets, and counted for all rows that have them. Sets
-    are dealt over ``parts`` and meet in as many squared cells, however many partitions there are."""
-    counts = rows.groupBy(F.array_sort(items).alias("t"), F.col(block).alias("block")).agg(F.count("*").alias("n"))
+    Distances are computed once for two distinct sets, and counted for all rows that have them. Parts of
+    about ``most_sets`` sets meet each other once, and leave a row for two of their blocks."""
+    counts = rows.groupBy(F.array_sort(F.array_distinct(items)).alias("t"), F.col(block).alias("block")).agg(F.count("*").alias("n"))
     held = counts.groupBy("t").agg(F.collect_list(F.struct("block", "n")).alias("held"))
-    # equal sets: n (n - 1) / 2 pairs of a block, n * m of two
-    own, every = F.pmod(F.xxhash64("t"), F.lit(parts)), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")))
-    a = held.select(F.col("t").alias("ta"), F.col("held").alias("a"), own.alias("i"), every.alias("j"))
-    b = held.select(F.col("t").alias("tb"), F.col("held").alias("b"), every.alias("i"), own.alias("j"))
-    d = sets.jaccard_distance(F.col("ta"), F.col("tb"))
-    pairs = a.join(b, ["i", "j"]).where("ta <= tb").select((F.col("ta") == F.col("tb")).alias("same"), d.alias("d"), F.explode("a").alias("x"), "b")
-    pairs = pairs.select("same", "d", "x", F.explode("b").alias("y")).where(~F.col("same") | (F.col("x.block") <= F.col("y.block")))
-    n, m = F.col("x.n"), F.col("y.n")
-    many = F.when(F.col("same") & (F.col("x.block") == F.col("y.block")), (n * (n - 1) / 2).cast("long")).otherwise(n * m)
-    by = [F.least("x.block", "y.block").alias("block_a"), F.greatest("x.block", "y.block").alias("block_b")]
-    out = pairs.withColumn("n", many).where("n > 0").groupBy(*by)
-    return out.agg(F.sum("n").alias("pairs"), (F.sum(F.col("n") * F.col("d")) / F.sum("n")).alias("mean_distance"), F.min("d").alias("least"), F.sum(F.when(F.col("d") == 0, F.col("n")).otherwise(0)).alias("equal"))
+    parts = max(8, -(-held.count() // most_sets))
+    dealt = tiles.packed(held, parts, F.xxhash64("t"))
+    kind = dict(counts.dtypes)["block"]
+
+    def work(i: int, j: int, a: pa.Table, b: pa.Table) -> Iterator[pa.RecordBatch]:
+        return tiles.set_distances(i == j, a, b).to_batches()
+
+    met = tiles.meeting(dealt, dealt, parts, F.sequence(F.col("part"), F.lit(parts - 1).cast("long")), work, f"x {kind}, y {kind}, pairs long, total double, least double, equal long")
+    out = met.groupBy(F.least("x", "y").alias("block_a"), F.greatest("x", "y").alias("block_b"))
+    return out.agg(F.sum("pairs").alias("pairs"), (F.sum("total") / F.sum("pairs")).alias("mean_distance"), F.min("least").alias("least"), F.sum("equal").alias("equal"))
 
 
 def nearest_sets(left: DataFrame, right: DataFrame, items: str, parts: int = 16) -> DataFrame:
