@@ -192,12 +192,12 @@ p AS (SELECT a.block, a.user_id AS u, b.user_id AS v, 1 - len(list_intersect(a.t
 SELECT block, count(*) AS pairs, round(avg(d), 6) AS mean_distance, round(min(d), 6) AS least, count(*) FILTER (WHERE d = 0) AS equal FROM p GROUP BY block
 """)
 def q_jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unordered pairs within blocks only; q_jaccard_block_pairs has those of all blocks."""
-    s = chains(spark, sf_dir).select("user_id", (F.col("user_id") % 10).alias("block"), F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"]))).alias("t"))
-    s = s.where(F.size("t") > 0)
-    b = s.select("block", F.col("user_id").alias("v"), F.col("t").alias("t2"))
-    p = s.join(b, "block").where("user_id < v").withColumn("d", sets.jaccard_distance(F.col("t"), F.col("t2")))
-    return p.groupBy("block").agg(F.count("*").alias("pairs"), r6(F.avg("d")).alias("mean_distance"), r6(F.min("d")).alias("least"), F.count_if(F.col("d") == 0).alias("equal"))
+    """Unordered pairs within blocks only; q_jaccard_block_pairs has those of all blocks. Blocks share
+    most of their sets, so that each two distinct ones are compared once for all blocks."""
+    steps = F.array_distinct(F.transform(bigrams(F.col("chain")), lambda p: F.concat_ws(">", p["source"], p["target"])))
+    s = chains(spark, sf_dir).select((F.col("user_id") % 10).alias("block"), steps.alias("t")).where(F.size("t") > 0)
+    out = A.set_pairs(s, "block", "t").where("block_a = block_b")
+    return out.select(F.col("block_a").alias("block"), "pairs", r6(F.col("mean_distance")).alias("mean_distance"), r6(F.col("least")).alias("least"), "equal")
 
 
 @query(f"""
