@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomtrace.operators import tiles
+
 
 def dot(a: Column, b: Column) -> Column:
     """Inner product in double, summed in order of place."""
@@ -16,22 +19,19 @@ def dot(a: Column, b: Column) -> Column:
 def dense_top(queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str, most_queries: int = 4096) -> DataFrame:
     """(query_id, key, score, rank): each query's best rows of the corpus, ties to the smaller key.
 
-    The corpus is scanned once against each broadcast block of about ``most_queries`` queries; of
-    more queries the blocks are dealt by key, so that rows of one key stay together. Per query
-    only the k best of each task are shuffled."""
-    blocks = max(1, -(-queries.count() // most_queries))
-    place = F.pmod(F.xxhash64(key), F.lit(blocks))
-    found = [_dense_block(queries.where(place == b) if blocks > 1 else queries, corpus, k, key, vector) for b in range(blocks)]
-    return reduce(DataFrame.unionByName, found)
+    Parts of at most about ``most_queries`` queries meet parts of the corpus, each once. Per query only
+    the best of each part, and what ties with them to the sixth decimal, are shuffled."""
+    blocks, parts = (max(1, -(-rows.count() // most)) for rows, most in ((queries, most_queries), (corpus, 1 << 14)))
+    q, c = (tiles.packed(rows.select(key, vector), n, F.xxhash64(key)) for rows, n in ((queries, blocks), (corpus, parts)))
+    kinds = [t for name, t in corpus.dtypes if name == key]
 
+    def work(i: int, j: int, some: pa.Table, rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        return tiles.best_products(k, key, vector, some, rows)
 
-def _dense_block(queries: DataFrame, corpus: DataFrame, k: int, key: str, vector: str) -> DataFrame:
-    q = queries.select(F.col(key).alias("query_id"), F.col(vector).alias("_q"))
-    rows = corpus.select(key, vector).join(F.broadcast(q)).withColumn("score", F.round(dot(F.col("_q"), F.col(vector)), 6))
-    part = Window.partitionBy("query_id", "_part").orderBy(F.desc("score"), key)
-    near = rows.select("query_id", key, "score", (F.xxhash64(key) % 64).alias("_part")).withColumn("_r", F.row_number().over(part)).where(F.col("_r") <= k)
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return near.select("query_id", key, "score").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    near = tiles.meeting(q, c, parts, F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long")), work, f"query_id {kinds[0]}, key {kinds[0]}, score double")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "key")
+    best = near.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return best.select("query_id", F.col("key").alias(key), "score", "rank")
 
 
 def tokens(text: Column) -> Column:
