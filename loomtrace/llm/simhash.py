@@ -136,14 +136,18 @@ def dealt(fps: DataFrame, most_rows: int = 1 << 18) -> DataFrame:
 
 def near_links(fps: DataFrame, most: int = 2, most_pairs: int = 4096) -> DataFrame:
     """(tab, u, v) of distinct (tab, fp): every pair of a table that differs in at most ``most``
-    bits is joined or, where it shares only crowded keys, connected through links of this table."""
+    bits is joined or, where it shares only crowded keys, connected through links of this table.
+
+    Spark's estimates of size don't count the rows that an explode makes, so that an index of 34 times
+    the size of what it comes from may seem small enough to broadcast; the joins of the index are told
+    to sort and merge, and nothing of it comes to the driver."""
     key = ["tab", "seg", "val"]
     index = segment_index(dealt(fps), most)
     # an own segment meets own ones and cleared ones; cleared ones need not meet each other
     counts = index.groupBy(*key).agg(F.count_if("own").alias("a"), F.count("*").alias("b")).where("a >= 1 and b >= 2")
-    shared = cut(index.join(counts, key))
+    shared = cut(index.hint("merge").join(counts, key))
     few, many = shared.where(F.col("a") * F.col("b") <= most_pairs), shared.where(F.col("a") * F.col("b") > most_pairs)
-    pairs = few.where("own").select(*key, F.col("fp").alias("u")).join(few.select(*key, F.col("fp").alias("v")), key)
+    pairs = few.where("own").select(*key, F.col("fp").alias("u")).hint("merge").join(few.select(*key, F.col("fp").alias("v")), key)
     pairs = pairs.where((F.col("u") != F.col("v")) & (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= most)).select("tab", "u", "v")
     flips = [0] + [sum(1 << b for b in c) for n in range(1, most // 2 + 1) for c in combinations(range(BITS), n)]
     flips = F.array(*[F.lit(x - (1 << 64) if x >= 1 << 63 else x).cast("long") for x in flips])

@@ -243,6 +243,17 @@ def test_components_in_blocks(spark):
     assert components.components(df.limit(0)).count() == 0
 
 
+def test_index_stays_off_the_driver(spark, monkeypatch):
+    """However small the index seems to Spark, its joins send none of it to the driver."""
+    plans, cut = [], simhash.cut
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(simhash, "cut", lambda df: (cut(df), plans.append(plan(df)))[0])
+    links = simhash.near_links(spark.range(500).select(F.lit(0).alias("tab"), F.xxhash64(F.col("id").bitwiseAND(-2)).bitwiseXOR(F.col("id") % 2).alias("fp")))
+    assert links.count() == len(links.collect()) == 500  # both ways
+    plans.append(plan(links))
+    assert all("SortMergeJoin" in p and "Broadcast" not in p for p in plans) and len(plans) == 2
+
+
 def test_candidates_by_fingerprint(spark):
     """Most pairs that share 0.8 of their shingles are connected by word fingerprints alone; all are in the end."""
     rng = random.Random(11)
